@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from . import packing, simhash
+from . import line_dedup, packing, quality_rules, simhash
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
+    "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op5_quality_rules": quality_rules.op5_quality_rules,
     "op10_simhash": simhash.op10_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_line_dedup": line_dedup.OP2_SQL,
+    "op5_quality_rules": quality_rules.OP5_SQL,
+}
