@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import line_dedup, packing, quality_rules, simhash
+from . import decontamination, line_dedup, packing, quality_rules, simhash
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op5_quality_rules": quality_rules.op5_quality_rules,
+    "op9_decontamination": decontamination.op9_decontamination,
     "op10_simhash": simhash.op10_simhash,
 }
 
