@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontamination, line_dedup, packing, quality_rules, simhash
+from . import decontamination, line_dedup, packing, quality_rules, simhash, url_filter, warc
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
     "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op3_warc": warc.op3_warc,
     "op5_quality_rules": quality_rules.op5_quality_rules,
+    "op7_url_filter": url_filter.op7_url_filter,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_simhash": simhash.op10_simhash,
 }
@@ -15,4 +17,5 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": line_dedup.OP2_SQL,
     "op5_quality_rules": quality_rules.OP5_SQL,
+    "op7_url_filter": url_filter.OP7_SQL,
 }
