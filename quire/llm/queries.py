@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontamination, line_dedup, packing, quality_rules, simhash, url_filter, warc
+from . import decontamination, line_dedup, packing, quality_rules, simhash, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op3_warc": warc.op3_warc,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op7_url_filter": url_filter.op7_url_filter,
     "op9_decontamination": decontamination.op9_decontamination,
