@@ -69,7 +69,9 @@ def judged(docs: DataFrame, host: str = "source", host_rate: float = HOST_RATE,
     base = (c("n_words") < least_words) | (100 * c("n_repeat_words") > repeated * c("n_words"))
     failed = base | (100 * c("n_symbols") > symbols * c("n_words")) | (100 * c("n_dup_lines") > same_lines * c("n_lines"))
     counted = _counts(docs)
-    rows = counted.select(*(F.col(x) for x in own), *(c(x).alias(x) for x in names), base.alias("base_failed"), failed.alias("failed"), F.col(host).alias(P + "host"))
+    # through a generator, which no filter is pushed below: else a filter on the verdict would put the array expressions into each other
+    result = F.struct(*(c(x).alias(x) for x in names), base.alias("base_failed"), failed.alias("failed"), F.col(host).alias(P + "host"))
+    rows = counted.select(*(F.col(x) for x in own), F.inline(F.array(result)))
 
     hosts = pinned(rows.groupBy(P + "host").agg(F.count("*").alias(P + "n"), F.count_if("failed").alias(P + "f")))
     n, f = F.col(P + "n"), F.col(P + "f")
