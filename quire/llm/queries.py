@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, line_dedup, maxent, packing, quality_rules, simhash, toxicity, url_filter, warc
+from . import decontamination, line_dedup, maxent, packing, pii, quality_rules, simhash, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_lm_scoring": maxent.op6_lm_scoring,
     "op7_url_filter": url_filter.op7_url_filter,
+    "op8_pii": pii.op8_pii,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_simhash": simhash.op10_simhash,
 }
