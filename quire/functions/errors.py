@@ -59,5 +59,6 @@ def parsed_reply(reply: Column, schema: str = REPLY) -> Column:
     """(value, error, raw_preview): the reply's JSON by schema, or invalid_json with its first 500 characters."""
     body = unfenced(reply)
     value = F.from_json(body, schema, {"mode": "PERMISSIVE"})
-    valid = F.coalesce(F.try_parse_json(body).isNotNull(), F.lit(False))
+    whole = F.concat(F.lit("["), body, F.lit("]"))  # as the only item of a list, so that nothing may follow it
+    valid = F.coalesce(F.try_parse_json(whole).isNotNull() & (F.json_array_length(whole) == 1), F.lit(False))
     return F.struct(F.when(valid, value).alias("value"), F.when(~valid, F.lit("invalid_json")).alias("error"), F.when(~valid, F.left(F.coalesce(reply, F.lit("")), F.lit(500))).alias("raw_preview"))

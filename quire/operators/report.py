@@ -16,7 +16,7 @@ def metric(*columns: str) -> Column:
 
 def number(value: Column, places: int = 4) -> Column:
     """value with so many places; a dash for null."""
-    return F.coalesce(F.format_string(f"%.{places}f", value.cast("double")), F.lit("—"))
+    return F.when(value.isNull(), "—").otherwise(F.format_string(f"%.{places}f", value.cast("double")))
 
 
 def latest(df: DataFrame, path: str = "path") -> DataFrame:
