@@ -25,11 +25,13 @@ SHARE = 0.5
 SIMILAR, ANSWER = 0.8, 0.5
 #: Items in a posting block, and in an index shard.
 BLOCK, SHARD = 8, 20_000
-#: ASCII other than letters and digits to spaces, A-Z to a-z.
+#: ASCII other than letters and digits to spaces, A-Z to a-z; other letters are lower-cased before.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 or 48 <= c <= 57 else 32 for c in range(256))
 
 
 def words_of(text: bytes) -> list[bytes]:
+    if not text.isascii():
+        text = text.decode().lower().encode()
     return text.translate(FOLD).split()
 
 

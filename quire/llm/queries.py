@@ -10,7 +10,6 @@ QUERIES = {
     "op3_warc": warc.op3_warc,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_quality_rules": quality_rules.op5_quality_rules,
-    "op6_lm_scoring": maxent.op6_lm_scoring,
     "op7_url_filter": url_filter.op7_url_filter,
     "op8_pii": pii.op8_pii,
     "op9_decontamination": decontamination.op9_decontamination,
@@ -20,6 +19,5 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": line_dedup.OP2_SQL,
     "op5_quality_rules": quality_rules.OP5_SQL,
-    "op6_lm_scoring": maxent.op6_lm_scoring,
     "op7_url_filter": url_filter.OP7_SQL,
 }

@@ -21,8 +21,6 @@ LISTED = tuple(f"{name}.example.{tld}/" for name in ("ads-track", "adult-x", "ca
 #: Bits an entry, and most blocks of 512 bits (64 bytes each).
 BITS, BLOCKS = 16, 1 << 20
 SALTS = np.array([0x47B6137B44974D91, 0x8824AD5BA2B7289D, 0x705495C72DF1424B, 0x9EFC49475C6BFB31, 0xA2B7289D47B6137B, 0x5C6BFB319EFC4947, 0x2DF1424B70549541, 0x44974D918824AD5B], np.uint64)
-#: Most host suffixes and path prefixes that are tried for a URL; entries that are deeper in the list raise an error.
-SUFFIXES, PREFIXES = 6, 6
 
 
 def place(h: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
@@ -42,14 +40,14 @@ def host_and_path(pages: DataFrame) -> DataFrame:
     return pages.withColumns({"host": F.coalesce(lower, F.lit("")), "path": F.coalesce(path, F.lit(""))})
 
 
-def _tries():
-    """All host suffixes with all directory prefixes of host and path; www and port are left out of the host."""
+def _tries(most_labels: int, most_steps: int):
+    """Host suffixes with directory prefixes of host and path, as deep as any listed entry; www and port are left out of the host."""
     host = F.regexp_replace(F.regexp_replace("host", r"^(?:[^@]*@)?(?:www\.)?", ""), r"\.?(?::[0-9]*)?$", "")
     labels = F.split(host, r"\.")
     steps = F.split("path", "/")
     n, m = F.size(labels), F.size(steps)
-    suffixes = F.transform(F.sequence(F.lit(1), F.least(n, F.lit(SUFFIXES))), lambda k: F.array_join(F.slice(labels, n - k + 1, k), "."))
-    prefixes = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(m - 1, F.lit(PREFIXES)))), lambda k: F.concat(F.array_join(F.slice(steps, F.lit(1), k), "/"), F.lit("/")))
+    suffixes = F.transform(F.sequence(F.lit(1), F.least(n, F.lit(most_labels))), lambda k: F.array_join(F.slice(labels, n - k + 1, k), "."))
+    prefixes = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(m - 1, F.lit(most_steps)))), lambda k: F.concat(F.array_join(F.slice(steps, F.lit(1), k), "/"), F.lit("/")))
     return F.when(F.col("host") != "", F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(s, p)))))
 
 
@@ -57,10 +55,10 @@ def listed_pages(pages: DataFrame, listed: DataFrame, bits: int = BITS, most: in
     """The distinct (host, path) of pages that an entry (column entry) of listed fits."""
     spark = pages.sparkSession
     entries = listed.select(F.col("entry").cast("string").alias("entry")).where("entry IS NOT NULL").distinct()
-    deep = entries.where((F.size(F.split(F.substring_index("entry", "/", 1), r"\.")) > SUFFIXES) | (F.size(F.split("entry", "/")) - 1 > PREFIXES))
-    if not deep.isEmpty():
-        raise ValueError("a listed entry is deeper than the tries")
-    blocks = int(min(most, max(1, -(-entries.count() * bits // 512))))
+    size = entries.agg(
+        F.count("*").alias("n"), F.max(F.size(F.split(F.substring_index("entry", "/", 1), r"\."))).alias("labels"), F.max(F.size(F.split("entry", "/")) - 1).alias("steps")
+    ).first()
+    blocks = int(min(most, max(1, -(-size["n"] * bits // 512))))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -84,7 +82,7 @@ def listed_pages(pages: DataFrame, listed: DataFrame, bits: int = BITS, most: in
                 yield b.filter(pa.array(hit))
 
     urls = pages.select("host", "path").distinct()
-    tries = urls.select("host", "path", F.explode(_tries()).alias("entry")).withColumn("h", F.xxhash64("entry"))
+    tries = urls.select("host", "path", F.explode(_tries(size["labels"] or 1, max(1, size["steps"] or 1))).alias("entry")).withColumn("h", F.xxhash64("entry"))
     tries = tries.mapInArrow(possible, tries.schema).drop("h")
     return tries.join(entries, "entry", "left_semi").select("host", "path").distinct()
 
