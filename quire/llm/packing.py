@@ -19,7 +19,11 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from .common import bytes_of, documents
 
 #: Entries of a worker's word cache; later words are encoded each time.
-CACHE = 400_000
+CACHE = 600_000
+#: Marks that often end a word; none of them can begin a contraction.
+MARKS = b".,;:!?#*$%&|)"
+#: How byte-level vocabularies write bytes that have no visible Latin-1 character: in order, from U+0100 on.
+BYTES = {b: 256 + k for k, b in enumerate([*range(33), *range(127, 161), 173])}
 #: Documents in a shard.
 SHARD = 16_384
 
@@ -41,12 +45,14 @@ class WordIds(dict):
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __missing__(self, piece: bytes) -> bytes:
-        if piece[-1:] in (b".", b",") and piece[-2:-1].isalpha():
-            ids = self[piece[:-1]] + self[piece[-1:]]
-        elif piece.isalpha():  # of bytes: A-Z and a-z only
-            ids = np.array([t.id for t in self.model.tokenize(piece.decode())], "<u4").tobytes()
+        core = piece.rstrip(MARKS)
+        text = piece.decode()
+        if core and core != piece and text[len(text) + len(core) - len(piece) - 1].lower().isalpha():  # letters never join marks
+            ids = self[core] + self[piece[len(core) :]]
+        elif text.isalpha() and max(text) < "\u0100":  # letters that are normalised by lower-casing alone
+            ids = np.array([t.id for t in self.model.tokenize(text.lower().encode().decode("latin-1").translate(BYTES))], "<u4").tobytes()
         else:
-            ids = self.whole(piece.decode())
+            ids = self.whole(text)
         if len(self) < self.most:
             self[piece] = ids
         return ids
