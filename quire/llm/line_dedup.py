@@ -42,7 +42,9 @@ def boilerplate(docs: DataFrame, site: str = "source", sites: int = SITES) -> Da
         .where(F.col("n") >= F.lit(int(low)))
     )
     unsure = spread.where(F.col("n") <= high)
-    exact = lines.join(unsure.select("line"), "line", "left_semi").groupBy("line").agg(F.count_distinct("site").alias("n")).where(F.col("n") >= sites)
+    # pairs of line and site are made distinct before the join, map-side first: it gets a line once a site, however often it stands
+    pairs = lines.select("line", "site").distinct()
+    exact = pairs.join(unsure.select("line"), "line", "left_semi").groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= sites)
     return spread.where(F.col("n") > high).select("line", "first").unionAll(unsure.join(exact.select("line"), "line", "left_semi").select("line", "first"))
 
 
