@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import SPACES, documents, pinned
+from .common import SPACES, documents, materialised, pinned
 
 #: A host is rejected above this shrunk failure rate.
 HOST_RATE = 0.5
@@ -53,8 +53,8 @@ def _counts(docs: DataFrame) -> DataFrame:
     return out.withColumn(P + "n_repeat_words", F.coalesce(covered, F.lit(0).cast("long")))
 
 
-def judged(docs: DataFrame, host: str = "source", host_rate: float = HOST_RATE, least_words: int = 10, repeated: int = 20, symbols: int = 30, same_lines: int = 60) -> DataFrame:
-    """docs with the five counts, base_failed, failed, host_rate and kept.
+def judged(docs: DataFrame, host: str = "source", host_rate: float = HOST_RATE, least_words: int = 10, repeated: int = 20, symbols: int = 30, same_lines: int = 60, columns: list[str] | None = None) -> DataFrame:
+    """docs (or these of its columns) with the five counts, base_failed, failed, host_rate and kept.
 
     A document fails with under least_words words, over repeated per cent of its words in five-word windows that are found
     twice, over symbols symbols for 100 words, or over same_lines per cent of its lines equal to an earlier one; kept is false if
@@ -64,7 +64,7 @@ def judged(docs: DataFrame, host: str = "source", host_rate: float = HOST_RATE,
     spark = docs.sparkSession
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     made = [*names, "base_failed", "failed", "host_rate", "kept"]
-    own = [x for x in docs.columns if x not in made]
+    own = [x for x in (docs.columns if columns is None else columns) if x not in made]
     c = lambda name: F.col(P + name)
     base = (c("n_words") < least_words) | (100 * c("n_repeat_words") > repeated * c("n_words"))
     failed = base | (100 * c("n_symbols") > symbols * c("n_words")) | (100 * c("n_dup_lines") > same_lines * c("n_lines"))
@@ -72,6 +72,8 @@ def judged(docs: DataFrame, host: str = "source", host_rate: float = HOST_RATE,
     # through a generator, which no filter is pushed below: else a filter on the verdict would put the array expressions into each other
     result = F.struct(*(c(x).alias(x) for x in names), base.alias("base_failed"), failed.alias("failed"), F.col(host).alias(P + "host"))
     rows = counted.select(*(F.col(x) for x in own), F.inline(F.array(result)))
+    if "text" not in own:  # narrow rows are written once; with the texts, counting them again is cheaper than writing them
+        rows = materialised(rows, "quality")
 
     hosts = pinned(rows.groupBy(P + "host").agg(F.count("*").alias(P + "n"), F.count_if("failed").alias(P + "f")))
     n, f = F.col(P + "n"), F.col(P + "f")
@@ -89,7 +91,7 @@ def judged(docs: DataFrame, host: str = "source", host_rate: float = HOST_RATE,
 
 def op5_quality_rules(spark, sf_dir: str) -> DataFrame:
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
-    return judged(documents(spark, sf_dir)).select(*columns)
+    return judged(documents(spark, sf_dir), columns=["doc_id"]).select(*columns)
 
 
 OP5_SQL = r"""
