@@ -206,7 +206,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     linked = roots.unionAll(roots.select(F.col("root").alias("node"), "root")).distinct()
     owned = linked.join(nodes, linked.node == nodes.fp).groupBy("root").agg(F.min("first_id").alias("component_id"))
     group = linked.join(owned, "root").select(F.col("node").alias("fp"), "component_id")
-    ids = nodes.join(group, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
+    # a table of its own, so that the last join's sides are plain exchanges, of which AQE splits a fingerprint with many copies
+    ids = pinned(nodes.join(group, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id")))
     return fps.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
