@@ -173,15 +173,16 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
 def connected(edges: DataFrame, most: int = 60) -> DataFrame:
     """(node, root) for each node of the links (a, b): root is the smallest node that it reaches.
 
-    Alternates large-star and small-star steps; each is a min-aggregation and an equi-join, so no neighbourhood is gathered.
+    Alternates large-star and small-star steps; each is a min-aggregation and an equi-join, so no neighbourhood is gathered. Both
+    sides of the joins are pinned, so that AQE can split the rows of a node with many neighbours.
     """
     edges = pinned(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct())
     before = None
     for _ in range(most):
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lowest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.where("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        lower = large.groupBy("a").agg(F.min("b").alias("m"))
+        lowest = pinned(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
+        large = pinned(both.where("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        lower = pinned(large.groupBy("a").agg(F.min("b").alias("m")))
         small = large.join(lower, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
         edges = pinned(small.unionAll(lower.select("a", F.col("m").alias("b"))).distinct())
         now = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("h")).first()
