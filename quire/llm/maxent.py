@@ -123,12 +123,23 @@ def logits(weights: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
     out = weights[rows[0]]
     for r in rows[1:]:
         out += weights[r]
-    return out + weights[0]
+    out += weights[0]
+    return out
+
+
+def softmax(z: np.ndarray) -> np.ndarray:
+    """The softmax of each row, in place."""
+    z -= z.max(1, keepdims=True)
+    np.exp(z, out=z)
+    z /= z.sum(1, keepdims=True)
+    return z
 
 
-def log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(1, keepdims=True)
-    return z - np.log(np.exp(z).sum(1, keepdims=True))
+def log_softmax_at(z: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """The log softmax of each row in one column; z is overwritten."""
+    z -= z.max(1, keepdims=True)
+    at = z[np.arange(len(z)), column]
+    return at - np.log(np.exp(z, out=z).sum(1))
 
 
 def learn(weights: np.ndarray, squares: np.ndarray, ids: np.ndarray, first: np.ndarray, classes: np.ndarray, rate: float) -> None:
@@ -136,21 +147,23 @@ def learn(weights: np.ndarray, squares: np.ndarray, ids: np.ndarray, first: np.n
     for k in range(0, len(ids), BATCH):
         lo = max(0, k - 3)
         rows = [r[k - lo :] for r in hashed(histories(ids[lo : k + BATCH], first[lo : k + BATCH]))]
-        p = np.exp(log_softmax(logits(weights, rows)))
+        p = softmax(logits(weights, rows))
         p[np.arange(len(p)), classes[ids[k : k + BATCH]]] -= 1
         for r in [*rows, None]:
             if r is None:
                 at, g = np.zeros(1, np.int64), p.sum(0, keepdims=True)
             else:
+                r = r.astype(np.int16)  # of 16 bits, which are sorted by radix
                 order = np.argsort(r, kind="stable")
-                starts = np.flatnonzero(np.r_[True, np.diff(r[order]) != 0])
-                at, g = r[order][starts], np.add.reduceat(p[order], starts)
+                r = r[order]
+                starts = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
+                at, g = r[starts], np.add.reduceat(p[order], starts)
             squares[at] += g * g
             weights[at] -= rate * g / np.sqrt(squares[at] + 1)
 
 
 def token_batches(batches: Iterator[pa.RecordBatch], place: int, words: Words, most: int = 1 << 18):
-    """(tokens of each text, numbers, place in the document, owner) for texts of together about most tokens; owner: (batch, row)."""
+    """(batch, first row, tokens of each text, numbers) for texts of together about most tokens."""
     for b in batches:
         texts, held, start = [], 0, 0
         column = bytes_of(b.column(place))
@@ -158,12 +171,65 @@ def token_batches(batches: Iterator[pa.RecordBatch], place: int, words: Words, m
             texts.append(words_of(text))
             held += len(texts[-1])
             if held >= most or k == len(column) - 1:
-                ids = np.array([x for t in texts for x in map(words.__getitem__, t)], np.int64)
-                n = np.array([len(t) for t in texts])
-                yield b, start, texts, ids, np.arange(len(ids)) - np.repeat(np.cumsum(n) - n, n), n
+                yield b, start, texts, np.fromiter((x for t in texts for x in map(words.__getitem__, t)), np.uint16, held)
+                texts, held, start = [], 0, k + 1
+
+
+def id_batches(batches: Iterator[pa.RecordBatch], place: int, most: int = 1 << 18):
+    """(batch, first row, numbers, place in the document, lengths) for the numbers (binary uint16) of texts of together about most tokens."""
+    for b in batches:
+        texts, held, start = [], 0, 0
+        column = b.column(place).to_pylist()
+        for k, x in enumerate(column):
+            texts.append(x)
+            held += len(x) // 2
+            if held >= most or k == len(column) - 1:
+                n = np.array([len(t) // 2 for t in texts])
+                yield b, start, np.frombuffer(b"".join(texts), "<u2").astype(np.int64), np.arange(held) - np.repeat(np.cumsum(n) - n, n), n
                 texts, held, start = [], 0, k + 1
 
 
+def encoded(docs: DataFrame, vocabulary: Vocabulary, held_out) -> DataFrame:
+    """(row, doc_id, held_out, n_tokens, found, logs, ids, words, times) for each row of docs, written as a table.
+
+    ids: the numbers of its tokens; found and logs: how many tokens are in the dictionary, and their log10(count + 1) summed; words
+    and times: those that aren't in it. Later passes read these, not the texts.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, known = shared.value.tables()
+        head = shared.value.n_head
+        log_count = np.log10(np.r_[shared.value.counts[:head] + 1.0, np.ones(TAILS)])
+        for b, start, texts, ids in token_batches(batches, 3, words):
+            n = np.array([len(t) for t in texts])
+            doc, ends = np.repeat(np.arange(len(n)), n), np.cumsum(n)
+            is_head = ids < head
+            logs, found = np.bincount(doc, log_count[ids], len(n)), np.bincount(doc, is_head, len(n)).astype(np.int64)
+            rare, times = [[] for _ in n], [[] for _ in n]
+            tail = np.flatnonzero(~is_head)
+            cuts = np.searchsorted(tail, np.r_[0, ends])
+            for d, t in enumerate(texts):
+                first = int(ends[d] - n[d])
+                for w, k in Counter([t[j - first] for j in tail[cuts[d] : cuts[d + 1]].tolist()]).items():
+                    c = known.get(w)
+                    if c is None:
+                        rare[d].append(w)
+                        times[d].append(k)
+                    else:
+                        logs[d] += k * np.log10(c + 1.0)
+                        found[d] += k
+            cut, whole = b.slice(start, len(n)), ids.astype("<u2").tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [cut.column(0), cut.column(1), cut.column(2), pa.array(n.astype(np.int64)), pa.array(found), pa.array(logs), pa.array([whole[2 * (e - k) : 2 * e] for e, k in zip(ends.tolist(), n.tolist())], pa.binary()), pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int32()))],
+                ["row", "doc_id", "held_out", "n_tokens", "found", "logs", "ids", "words", "times"],
+            )
+
+    slim = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), F.col("text").cast("string").alias("text"))
+    schema = "row long, doc_id long, held_out boolean, n_tokens long, found long, logs double, ids binary, words array<binary>, times array<int>"
+    return materialised(slim.mapInArrow(run, schema), "maxent")
+
+
 def summed(rows: DataFrame, key: str, parts: int, kind: str) -> DataFrame:
     """Vectors (binary of dtype kind) in column v of (part, key, w, v) added up by key in a tree, so that no group is large."""
 
@@ -200,11 +266,9 @@ def _clusters(counts: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return own
 
 
-def trained(docs: DataFrame, counts: DataFrame, rate: float = 0.3, rounds: int = 1, prior: float = 20.0) -> Model:
-    """A model of the texts of docs, whose words are counted in counts."""
-    spark = docs.sparkSession
+def vocabulary_of(counts: DataFrame) -> tuple[Vocabulary, int, int]:
+    """The dictionary (bounded), and the number of tokens and of distinct words in counts."""
     size = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    total, distinct = size["n"] or 0, size["v"]
     most = counts.groupBy("n").count().orderBy(F.desc("n"))
     least, held = 1, 0
     for r in most.toLocalIterator():  # as many words as the dictionary holds
@@ -212,9 +276,14 @@ def trained(docs: DataFrame, counts: DataFrame, rate: float = 0.3, rounds: int =
             least = r["n"] + 1
             break
         held += r["count"]
-    rows = sorted(((r[1], bytes(r[0])) for r in counts.where(F.col("n") >= least).collect()), key=lambda x: (-x[0], x[1]))  # at most DICTIONARY
+    rows = sorted(((r[1], bytes(r[0])) for r in counts.where(F.col("n") >= least).select("word", "n").collect()), key=lambda x: (-x[0], x[1]))  # at most DICTIONARY
     rows = [(n, w) for n, w in rows if w == END] + [(n, w) for n, w in rows if w != END]
-    vocabulary = Vocabulary([w for _, w in rows], np.array([n for n, _ in rows], np.int64), min(HEAD, len(rows)))
+    return Vocabulary([w for _, w in rows], np.array([n for n, _ in rows], np.int64), min(HEAD, len(rows))), size["n"] or 0, size["v"]
+
+
+def trained(slim: DataFrame, counts: DataFrame, vocabulary: Vocabulary, total: int, distinct: int, rate: float = 0.3, rounds: int = 1, prior: float = 20.0) -> Model:
+    """A model of the token numbers in slim (ids), whose words are counted in counts."""
+    spark = slim.sparkSession
     head = vocabulary.n_head
     shared = spark.sparkContext.broadcast(vocabulary)
 
@@ -231,15 +300,13 @@ def trained(docs: DataFrame, counts: DataFrame, rate: float = 0.3, rounds: int =
     for r in counts.select("word", "n").mapInArrow(tails, "tail int, n long, v long").groupBy("tail").agg(F.sum("n"), F.sum("v")).collect():
         tail[r[0]] = r[1], r[2]
 
-    slim = docs.select(F.col("text").cast("string").alias("text"))
     parts = slim.rdd.getNumPartitions()
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = shared.value
-        words, bucket = vocabulary.tables()[0], vocabulary.buckets()
+        bucket = shared.value.buckets()
         out = np.zeros((head, BUCKETS), np.int32)
         flat = out.reshape(-1)
-        for _, _, _, ids, first, _ in token_batches(batches, 0, words):
+        for _, _, ids, first, _ in id_batches(batches, 0):
             before = np.r_[-1, ids[:-1]]
             ok = (ids < head) & (first > 0)
             flat += np.bincount(ids[ok] * BUCKETS + bucket[before[ok]], minlength=len(flat)).astype(np.int32)
@@ -277,10 +344,9 @@ def trained(docs: DataFrame, counts: DataFrame, rate: float = 0.3, rounds: int =
         start = spark.sparkContext.broadcast((weights, classes))
 
         def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            words = shared.value.tables()[0]
             weights, classes = start.value[0].copy(), start.value[1]
             squares, n = np.zeros_like(weights), 0
-            for _, _, _, ids, first, _ in token_batches(batches, 0, words):
+            for _, _, ids, first, _ in id_batches(batches, 0):
                 learn(weights, squares, ids, first, classes, rate)
                 n += len(ids)
             part = TaskContext.get().partitionId()
@@ -295,56 +361,33 @@ def trained(docs: DataFrame, counts: DataFrame, rate: float = 0.3, rounds: int =
     return Model(vocabulary, weights, classes, inner, total, distinct, tail)
 
 
-def scored(docs: DataFrame, model: Model, counts: DataFrame, held_out) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of docs."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-    ln10 = np.log(10)
+def scored(table: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of the table made by encoded()."""
+    shared = table.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        words, known = m.vocabulary.tables()
         head, bucket = m.vocabulary.n_head, np.r_[m.vocabulary.buckets(), BUCKETS]
         log_count = np.log10(np.r_[m.vocabulary.counts[:head] + 1.0, np.ones(TAILS)])
-        tail_log = np.log10(m.tail_total.sum(1) + 1.0)
-        whole = np.log10(m.total + m.distinct + 1.0)
-        for b, start, texts, ids, first, n in token_batches(batches, 3, words):
+        tail_log, ln10 = np.log10(m.tail_total.sum(1) + 1.0), np.log(10)
+        for b, start, ids, first, n in id_batches(batches, 6):
             before = histories(ids, first)
-            z = log_softmax(logits(m.weights, hashed(before)))[np.arange(len(ids)), m.classes[ids]] / ln10
+            z = log_softmax_at(logits(m.weights, hashed(before)), m.classes[ids]).astype(float) / ln10
             is_head = ids < head
-            z[is_head] += m.inner[ids[is_head], bucket[before[0][is_head]]] / ln10
+            z[is_head] += m.inner[ids[is_head], bucket[before[0][is_head]]] / ln10 - log_count[ids[is_head]]  # logs has those of all known words
             z[~is_head] -= tail_log[ids[~is_head] - head]
-            doc = np.repeat(np.arange(len(n)), n)
-            base = np.bincount(doc, log_count[ids] - whole, len(n))
-            score = np.bincount(doc, z, len(n))
-            found = np.bincount(doc, is_head, len(n)).astype(np.int64)
-            rare, times, logs = [[] for _ in n], [[] for _ in n], np.zeros(len(n))
-            for d, (t, i) in enumerate(zip(texts, (np.cumsum(n) - n).tolist())):
-                for w, k in Counter([t[j] for j in np.flatnonzero(~is_head[i : i + len(t)]).tolist()]).items():
-                    c = known.get(w)
-                    if c is None:
-                        rare[d].append(w)
-                        times[d].append(k)
-                    else:
-                        logs[d] += k * np.log10(c + 1.0)
-                        found[d] += k
             cut = b.slice(start, len(n))
-            yield pa.RecordBatch.from_arrays(
-                [cut.column(0), cut.column(1), cut.column(2), pa.array(n.astype(np.int64)), pa.array(found), pa.array(base + logs), pa.array(score + logs), pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int32()))],
-                ["row", "doc_id", "held_out", "n_tokens", "found", "base", "model", "words", "times"],
-            )
+            yield pa.RecordBatch.from_arrays([*(cut.column(k) for k in range(6)), pa.array(np.bincount(np.repeat(np.arange(len(n)), n), z, len(n)))], ["row", "doc_id", "held_out", "n_tokens", "found", "logs", "model"])
 
-    slim = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), F.col("text").cast("string").alias("text"))
-    schema = "row long, doc_id long, held_out boolean, n_tokens long, found long, base double, model double, words array<binary>, times array<int>"
-    rows = materialised(slim.mapInArrow(run, schema), "maxent")
+    rows = table.select("row", "doc_id", "held_out", "n_tokens", "found", "logs", "ids").mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, found long, logs double, model double")
     least = int(model.vocabulary.counts.min()) if len(model.vocabulary.counts) else 1 << 62
-    each = rows.select("row", F.explode(F.arrays_zip("words", "times")).alias("x")).select("row", F.col("x.words").alias("word"), F.col("x.times").alias("times"))
+    each = table.select("row", F.explode(F.arrays_zip("words", "times")).alias("x")).select("row", F.col("x.words").alias("word"), F.col("x.times").alias("times"))
     beyond = each.join(counts.where(F.col("n") < least), "word").groupBy("row").agg(F.sum(F.col("times") * F.log10(F.col("n") + F.lit(1.0))).alias("more"), F.sum(F.col("times").cast("long")).alias("known"))
-    out = rows.drop("words", "times").join(beyond, "row", "left")
-    more = F.coalesce("more", F.lit(0.0))
-    return out.select(
+    logs = F.col("logs") + F.coalesce("more", F.lit(0.0))
+    whole = F.lit(float(np.log10(model.total + model.distinct + 1.0)))
+    return rows.join(beyond, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("found") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"),
-        (F.col("base") + more).alias("base_score"), (F.col("model") + more).alias("score"),
+        (logs - F.col("n_tokens") * whole).alias("base_score"), (F.col("model") + logs).alias("score"),
     )
 
 
@@ -355,9 +398,10 @@ def language_model_scores(docs: DataFrame, held_out=None, **more) -> DataFrame:
     at. Without any training row the base gives every token probability 1, as its formula says, and the model is uniform.
     """
     held_out = (crc_mod("doc_id", 7) == 2) if held_out is None else held_out
-    train = docs.where(~held_out).select("text")
-    counts = materialised(counted(train), "word-counts")
-    return scored(docs, trained(train, counts, **more), counts, held_out)
+    counts = materialised(counted(docs.where(~held_out)), "word-counts")
+    vocabulary, total, distinct = vocabulary_of(counts)
+    table = encoded(docs, vocabulary, held_out)
+    return scored(table, trained(table.where(~F.col("held_out")).select("ids"), counts, vocabulary, total, distinct, **more), counts)
 
 
 def op6_lm_scoring(spark, sf_dir: str) -> DataFrame:
