@@ -13,7 +13,9 @@ LOW_GRADES = ("poor", "fair")
 # routes
 KEPT = "docling-kept"
 ENGINES = ("vlm", "textract")
-ROUTES = (KEPT, *(f"{e}{s}" for e in ENGINES for s in ("", "-fallback-docling", "-rejected-kept-docling")))
+ROUTES = (
+    "docling-kept", "vlm", "vlm-fallback-docling", "textract", "textract-fallback-docling", "vlm-rejected-kept-docling", "textract-rejected-kept-docling",
+)
 THROTTLED, NO_CONTENT, NO_BUDGET = "throttled", "no_docling_content", "budget_exhausted_no_escalation"
 
 # confidence
@@ -28,34 +30,60 @@ PRICES = {"vlm": VLM_CALL, "textract": OCR_PAGE}
 # layout
 FULL_WIDTH, COLUMN_TOLERANCE, SCORE_LEAD, UPWARD = 0.85, 0.10, 0.05, 1e-6
 
-# inputs
+# Fixed values, which results and reports depend on: input kinds, element types, error vocabularies.
+
 KIND_BY_SUFFIX = {
-    **dict.fromkeys((".xlsm", ".xlsx"), "xlsx"), **dict.fromkeys((".htm", ".html"), "html"), ".docx": "docx", ".pdf": "pdf",
-    **dict.fromkeys((".webp", ".tiff", ".tif", ".png", ".jpg", ".jpeg"), "image"),
+    ".pdf": "pdf", ".png": "image", ".jpg": "image", ".jpeg": "image", ".tif": "image", ".tiff": "image", ".webp": "image",
+    ".docx": "docx", ".xlsx": "xlsx", ".xlsm": "xlsx", ".html": "html", ".htm": "html",
 }
-LISTED_SUFFIXES = tuple(s for s in KIND_BY_SUFFIX if s != ".webp")
+KIND_BY_MIME = {
+    "application/pdf": "pdf",
+    "application/vnd.openxmlformats-officedocument.wordprocessingml.document": "docx",
+    "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet": "xlsx",
+    "application/vnd.ms-excel.sheet.macroenabled.12": "xlsx",
+    "text/html": "html",
+    "application/xhtml+xml": "html",
+}
 MIME_BY_SUFFIX = {
-    ".pdf": "application/pdf", ".html": "text/html", ".htm": "text/html", ".png": "image/png", ".jpg": "image/jpeg", ".jpeg": "image/jpeg",
-    ".tif": "image/tiff", ".tiff": "image/tiff", ".webp": "image/webp", ".xlsm": "application/vnd.ms-excel.sheet.macroenabled.12",
+    ".pdf": "application/pdf", ".png": "image/png", ".jpg": "image/jpeg", ".jpeg": "image/jpeg", ".tif": "image/tiff", ".tiff": "image/tiff",
+    ".webp": "image/webp", ".html": "text/html", ".htm": "text/html",
     ".docx": "application/vnd.openxmlformats-officedocument.wordprocessingml.document",
-    ".xlsx": "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet",
+    ".xlsx": "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet", ".xlsm": "application/vnd.ms-excel.sheet.macroenabled.12",
 }
-KIND_BY_MIME = {m: KIND_BY_SUFFIX[s] for s, m in MIME_BY_SUFFIX.items()} | {"application/xhtml+xml": "html"}
+LISTED_SUFFIXES = (".pdf", ".png", ".jpg", ".jpeg", ".tif", ".tiff", ".docx", ".xlsx", ".xlsm", ".html", ".htm")
 SIDECARS = ("failures.json", "manifest.json")
 
-# elements
 ELEMENT_TYPES = ("heading", "paragraph", "list", "list_item", "table", "figure", "caption", "code_block", "equation", "footnote", "header", "footer", "page_number")
 FURNITURE = ("page_number", "header", "footer")
-EXTRACTOR_TYPES = {f"{c}Item": t for c, t in (
-    ("Caption", "caption"), ("Code", "code_block"), ("Footnote", "footnote"), ("Formula", "equation"), ("List", "list_item"), ("PageFooter", "footer"),
-    ("PageHeader", "header"), ("Picture", "figure"), ("SectionHeader", "heading"), ("Table", "table"), ("Text", "paragraph"),
-)}
-LAYOUT_TYPES = {f"LAYOUT_{c}": t for c, t in (
-    ("FIGURE", "figure"), ("FOOTER", "footer"), ("HEADER", "header"), ("LIST", "list"), ("PAGE_NUMBER", "page_number"),
-    ("SECTION_HEADER", "heading"), ("TEXT", "paragraph"), ("TITLE", "heading"),
-)}
+EXTRACTOR_TYPES = {
+    "SectionHeaderItem": "heading", "TextItem": "paragraph", "ListItem": "list_item", "TableItem": "table", "PictureItem": "figure", "CaptionItem": "caption",
+    "FootnoteItem": "footnote", "PageHeaderItem": "header", "PageFooterItem": "footer", "FormulaItem": "equation", "CodeItem": "code_block",
+}
+LAYOUT_TYPES = {
+    "LAYOUT_TITLE": "heading", "LAYOUT_SECTION_HEADER": "heading", "LAYOUT_TEXT": "paragraph", "LAYOUT_LIST": "list", "LAYOUT_TABLE": "table",
+    "LAYOUT_HEADER": "header", "LAYOUT_FOOTER": "footer", "LAYOUT_PAGE_NUMBER": "page_number", "LAYOUT_FIGURE": "figure",
+}
 LAYOUT_LEVELS = {"LAYOUT_TITLE": 1, "LAYOUT_SECTION_HEADER": 2}
 
+TRANSIENT_CODES = (
+    "ThrottlingException", "Throttling", "TooManyRequestsException", "ProvisionedThroughputExceededException", "ServiceUnavailable",
+    "ServiceUnavailableException", "RequestTimeout", "RequestTimeoutException", "InternalServerError", "InternalServerException",
+)
+PERMANENT_CODES = (
+    "AccessDenied", "AccessDeniedException", "UnrecognizedClient", "UnrecognizedClientException", "InvalidSignature", "InvalidSignatureException",
+    "ValidationException",
+)
+TRANSIENT_HINTS = (
+    "rate limit", "rate-limit", "ratelimit", "rate_limit", "too many requests", "throttl", "timeout", "timed out", "connection reset", "connection aborted",
+    "connection error", "temporarily unavailable", "service unavailable", "serviceunavailable", "provisionedthroughput", "bad gateway", "gateway timeout",
+    "internal server error", "502", "503", "504", "overloaded",
+)
+PERMANENT_HINTS = (
+    "invalid api key", "api key not valid", "unauthorized", "forbidden", "permission denied", "accessdenied", "access denied", "authentication",
+    "unrecognizedclient", "invalidsignature", "validationexception", "validation error", "not found", "404", "400 bad request", "invalid request",
+)
+TRANSIENT_STATUS = (408, 425, 429)
+
 WARNING_CODES = (
     "input_too_large", "unsupported_type", "unhandled_exception", "docling_failed", "page_unparseable", "vlm_table_fallback", "vlm_promoted",
     "vlm_fallback_docling", "vlm_invalid_shape", "image_unparseable", "low_confidence_page", "vlm_rejected_kept_docling",

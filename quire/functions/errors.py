@@ -4,21 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-TRANSIENT_CODES = tuple(
-    "InternalServerError InternalServerException ProvisionedThroughputExceededException RequestTimeout RequestTimeoutException "
-    "ServiceUnavailable ServiceUnavailableException Throttling ThrottlingException TooManyRequestsException".split()
-)
-PERMANENT_CODES = tuple(f"{c}{e}" for c in ("AccessDenied", "InvalidSignature", "UnrecognizedClient") for e in ("", "Exception")) + ("ValidationException",)
-PERMANENT_HINTS = tuple(
-    "400 bad request;404;access denied;accessdenied;api key not valid;authentication;forbidden;invalid api key;invalid request;"
-    "invalidsignature;not found;permission denied;unauthorized;unrecognizedclient;validation error;validationexception".split(";")
-)
-TRANSIENT_HINTS = tuple(
-    "502;503;504;bad gateway;connection aborted;connection error;connection reset;gateway timeout;internal server error;overloaded;"
-    "provisionedthroughput;rate limit;rate-limit;rate_limit;ratelimit;service unavailable;serviceunavailable;temporarily unavailable;"
-    "throttl;timed out;timeout;too many requests".split(";")
-)
-TRANSIENT_STATUS = (408, 425, 429)
+from quire.constants import PERMANENT_CODES, PERMANENT_HINTS, TRANSIENT_CODES, TRANSIENT_HINTS, TRANSIENT_STATUS
 
 
 def _any(text: Column, hints: tuple[str, ...]) -> Column:

@@ -79,14 +79,14 @@ def document_markdown(pages: DataFrame) -> DataFrame:
 def expanded(elements: DataFrame) -> DataFrame:
     """Engine elements (key..., seq, type, text, level, table) as elements with seq and sub: lists become an item for each line.
 
-    Bullets inside a line (U+2022, U+00B7) start a new one. A table with cells mirrors their texts; others pass with their level.
+    Bullets inside a line (U+2022, U+00B7) start a new one. A table with cells but no text mirrors their texts; others pass with their level.
     """
     items = F.filter(F.transform(F.split(F.translate("text", "•·", "\n\n"), r"\R"), lambda x: strip(F.regexp_replace(strip(x), "^[-*]+", ""))), lambda x: x != "")
     mirrored = F.array_join(F.transform("table.cells", lambda c: F.coalesce(c["text"], F.lit(""))), " ")
     is_table = (F.col("type") == "table") & (F.size(F.coalesce(F.col("table.cells"), F.array().cast(CELL))) > 0)
     parts = (
         F.when((F.col("type") == "list") & (F.size(items) > 0), F.transform(items, lambda t: F.struct(F.lit("list_item").alias("type"), t.alias("text"))))
-        .when(is_table, F.array(F.struct(F.lit("table").alias("type"), mirrored.alias("text")))).otherwise(F.array(F.struct("type", F.col("text"))))
+        .when(is_table, F.array(F.struct(F.lit("table").alias("type"), F.coalesce(F.nullif("text", F.lit("")), mirrored).alias("text")))).otherwise(F.array(F.struct("type", F.col("text"))))
     )
     own = [c for c in elements.columns if c not in ("type", "text")]
     return elements.select(*own, F.posexplode(parts).alias("sub", "_p")).select(*own, "sub", F.col("_p.type").alias("type"), F.col("_p.text").alias("text"))
@@ -94,12 +94,12 @@ def expanded(elements: DataFrame) -> DataFrame:
 
 def element_id(ref: Column, number: Column) -> Column:
     """The extractor's reference without its leading marks, else a number."""
-    return F.when(F.coalesce(ref, F.lit("")) != "", F.regexp_replace(ref, "^[#/]+", "")).otherwise(F.concat(F.lit("elem_"), F.lpad(number.cast("string"), 5, "0")))
+    return F.when(F.coalesce(ref, F.lit("")) != "", F.regexp_replace(ref, "^[#/]+", "")).otherwise(F.format_string("elem_%05d", number.cast("long")))
 
 
 def engine_element_id(page: Column, seq: Column, sub: Column | None = None) -> Column:
-    head = F.concat(F.lit("vlm_p"), page.cast("string"), F.lit("_"), F.lpad(seq.cast("string"), 4, "0"))
-    return head if sub is None else F.when(sub.isNull(), head).otherwise(F.concat(head, F.lit("_"), F.lpad(sub.cast("string"), 2, "0")))
+    head = F.format_string("vlm_p%d_%04d", page.cast("long"), seq.cast("long"))
+    return head if sub is None else F.when(sub.isNull(), head).otherwise(F.format_string("vlm_p%d_%04d_%02d", page.cast("long"), seq.cast("long"), sub.cast("long")))
 
 
 def renumbered(elements: DataFrame, key: str = "doc_id", order=("page_index", "start", "seq")) -> DataFrame:

@@ -68,16 +68,33 @@ def summary(records: DataFrame) -> DataFrame:
     by = lambda r: F.count_if(F.col("route") == r)
     total = lambda c: F.coalesce(F.sum(c), F.lit(0))
     return records.agg(
-        F.count("*").alias("documents"), by(KEPT).alias("kept_documents"), by("vlm").alias("vlm_documents"), by("textract").alias("textract_documents"), by("vlm-failed").alias("vlm_failed_documents"),
-        by("textract-failed").alias("textract_failed_documents"), by("error").alias("error_documents"), total("pages").alias("pages"), total("vlm_pages").alias("engine_pages"), total("throttled_pages").alias("throttled_pages"),
+        F.count("*").alias("total"), by(KEPT).alias("docling_kept"), by("vlm").alias("used_vlm"), by("textract").alias("used_textract"), by("vlm-failed").alias("vlm_failed"),
+        by("textract-failed").alias("textract_failed"), by("error").alias("errors"), total("pages").alias("total_pages"), total("vlm_pages").alias("vlm_pages"), total("throttled_pages").alias("throttled_pages"),
     )
 
 
+#: Column widths of the text report.
+WIDTHS = {"doc_id": 36, "route": 12, "pages": 5, "vlm_pages": 6, "routes": 22, "reason": 60}
+
+
+def report_header() -> str:
+    return f"{'doc_id':36} {'route':12} {'pages':>5} {'vlm_pg':>6} {'routes':22} reason"
+
+
 def format_lines(records: DataFrame) -> DataFrame:
-    """(doc_id, line) of a text report, in fixed widths."""
-    fit = lambda c, w: F.rpad(F.left(F.coalesce(F.col(c).cast("string"), F.lit("-")), F.lit(w)), w, " ")
-    number = lambda c, w: F.lpad(F.col(c).cast("string"), w, " ")
-    return records.select("doc_id", F.concat_ws(" ", fit("doc_id", 32), fit("route", 16), number("pages", 6), number("vlm_pages", 6), number("throttled_pages", 6), fit("reason", 40)).alias("line"))
+    """(doc_id, line) of a text report, in fixed widths; the reason comes last and isn't filled up."""
+    cut = lambda c: F.left(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(WIDTHS[c]))
+    fit = lambda c: F.rpad(cut(c), WIDTHS[c], " ")
+    number = lambda c: F.format_string(f"%{WIDTHS[c]}d", F.col(c).cast("long"))
+    return records.select("doc_id", F.concat(fit("doc_id"), F.lit(" "), fit("route"), F.lit(" "), number("pages"), F.lit(" "), number("vlm_pages"), F.lit(" "), fit("routes"), F.lit(" "), cut("reason")).alias("line"))
+
+
+def totals_line(totals: DataFrame) -> DataFrame:
+    """(line): the report's footer, from summary()."""
+    return totals.select(F.format_string(
+        "Total: %d docs / %d pages | used VLM: %d | vlm-failed: %d | used Textract: %d | textract-failed: %d | docling-kept: %d | errors: %d | escalated pages: %d | throttled pages: %d",
+        "total", "total_pages", "used_vlm", "vlm_failed", "used_textract", "textract_failed", "docling_kept", "errors", "vlm_pages", "throttled_pages",
+    ).alias("line"))
 
 
 def cost_summary(files: DataFrame) -> DataFrame:

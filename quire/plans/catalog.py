@@ -214,22 +214,22 @@ def route_record(spark, sf_dir):
     return long_id(parsed(spark, sf_dir, arbitration=True).routes).select("doc_id", "route", "pages", "vlm_pages", "throttled_pages", "routes", "reason")
 
 
-@query("route_summary", f"""WITH {routed_sql(True, 'vlm')}, r AS ({ROUTE_RECORD}) SELECT count(*) AS documents, {_N('docling-kept')} AS kept_documents, {_N('vlm')} AS vlm_documents,
-    {_N('textract')} AS textract_documents, {_N('vlm-failed')} AS vlm_failed_documents, {_N('textract-failed')} AS textract_failed_documents, {_N('error')} AS error_documents,
-    sum(pages)::BIGINT AS pages, sum(vlm_pages)::BIGINT AS engine_pages, sum(throttled_pages)::BIGINT AS throttled_pages FROM r""")
+@query("route_summary", f"""WITH {routed_sql(True, 'vlm')}, r AS ({ROUTE_RECORD}) SELECT count(*) AS total, {_N('docling-kept')} AS docling_kept, {_N('vlm')} AS used_vlm,
+    {_N('textract')} AS used_textract, {_N('vlm-failed')} AS vlm_failed, {_N('textract-failed')} AS textract_failed, {_N('error')} AS errors,
+    sum(pages)::BIGINT AS total_pages, sum(vlm_pages)::BIGINT AS vlm_pages, sum(throttled_pages)::BIGINT AS throttled_pages FROM r""")
 def route_summary(spark, sf_dir):
     return rollup.summary(parsed(spark, sf_dir, arbitration=True).routes)
 
 
-@query("route_report_lines", f"""WITH {routed_sql(True, 'vlm')}, r AS ({ROUTE_RECORD}) SELECT doc_id, rpad(doc_id::VARCHAR, 32, ' ') || ' ' || rpad(route, 16, ' ') || ' ' || lpad(pages::VARCHAR, 6, ' ') || ' ' ||
-    lpad(vlm_pages::VARCHAR, 6, ' ') || ' ' || lpad(throttled_pages::VARCHAR, 6, ' ') || ' ' || rpad(left(coalesce(reason, '-'), 40), 40, ' ') AS line FROM r""")
+@query("route_report_lines", f"""WITH {routed_sql(True, 'vlm')}, r AS ({ROUTE_RECORD}) SELECT doc_id, rpad(doc_id::VARCHAR, 36, ' ') || ' ' || rpad(route, 12, ' ') || ' ' || lpad(pages::VARCHAR, 5, ' ') || ' ' ||
+    lpad(vlm_pages::VARCHAR, 6, ' ') || ' ' || rpad(left(routes, 22), 22, ' ') || ' ' || left(coalesce(reason, ''), 60) AS line FROM r""")
 def route_report_lines(spark, sf_dir):
     return long_id(rollup.format_lines(parsed(spark, sf_dir, arbitration=True).routes))
 
 
-@query("error_records", """SELECT doc_id, 'error' AS route, 0::BIGINT AS pages, 0::BIGINT AS vlm_pages, 0::BIGINT AS throttled_pages, '-' AS routes, left(text, 200) AS reason FROM documents WHERE n_chars < 60""")
+@query("error_records", """SELECT doc_id, 'error' AS route, 0::BIGINT AS pages, 0::BIGINT AS vlm_pages, 0::BIGINT AS throttled_pages, '-' AS routes, left(text, 200) AS reason FROM documents""")
 def error_records(spark, sf_dir):
-    return rollup.error_records(table(spark, sf_dir, "documents").where("n_chars < 60").select("doc_id", F.col("text").alias("reason")))
+    return rollup.error_records(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("reason")))
 
 
 @query("failure_report", f"""WITH {routed_sql(False, 'vlm')} SELECT count(*) FILTER (WHERE promote AND m <= 4) AS failed_pages, count(*) FILTER (WHERE promote) AS promoted_pages FROM record""")
@@ -291,13 +291,13 @@ def table_to_markdown(spark, sf_dir):
     return grids.select("n_regionkey", render.table_markdown(F.col("cells"), F.lit(0), F.lit(0)).alias("markdown"))
 
 
-@query("table_grid", """WITH a AS (SELECT l_orderkey, l_linenumber AS r, l_partkey, l_quantity FROM lineitem WHERE l_orderkey % 4 = 0),
+@query("table_grid", """WITH a AS (SELECT l_orderkey, l_linenumber AS r, l_partkey, l_quantity FROM lineitem),
     w AS (SELECT l_orderkey, r, arg_max(l_partkey::VARCHAR, l_partkey * 1000 + l_quantity) AS p, arg_max(l_quantity::BIGINT::VARCHAR, l_partkey * 1000 + l_quantity) AS q FROM a GROUP BY ALL),
     m AS (SELECT l_orderkey, max(r) AS n FROM w GROUP BY l_orderkey), g AS (SELECT l_orderkey, unnest(range(0, n + 1)) AS r FROM m),
     l AS (SELECT g.l_orderkey, g.r, '| ' || coalesce(p, '') || ' | ' || coalesce(q, '') || ' |' || CASE WHEN g.r = 0 THEN chr(10) || '| --- | --- |' ELSE '' END AS line FROM g LEFT JOIN w ON g.l_orderkey = w.l_orderkey AND g.r = w.r)
     SELECT l_orderkey, string_agg(line, chr(10) ORDER BY r) AS markdown FROM l GROUP BY l_orderkey""")
 def table_grid(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem").where("l_orderkey % 4 = 0")
+    rows = table(spark, sf_dir, "lineitem")
     cells = rows.select("l_orderkey", F.col("l_linenumber").alias("row"), (F.col("l_partkey") * 1000 + F.col("l_quantity")).alias("seq"), F.posexplode(F.array(F.col("l_partkey").cast("string"), F.col("l_quantity").cast("long").cast("string"))).alias("col", "text"))
     return render.table_grid(cells, ["l_orderkey"])
 
@@ -308,10 +308,10 @@ def char_span_renumber(spark, sf_dir):
     return render.renumbered(turns_of(spark, sf_dir).withColumn("start", F.lit(0))).select("doc_id", "seq", "span_start", "span_end")
 
 
-@query("element_ids", """SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'elem_' || lpad(page_id::VARCHAR, 5, '0') ELSE 'texts/' || page_id END AS element_id,
-    'vlm_p' || (page_id % 10) || '_' || lpad(page_id::VARCHAR, 4, '0') || CASE WHEN page_id % 2 = 0 THEN '_' || lpad((page_id % 7)::VARCHAR, 2, '0') ELSE '' END AS engine_element_id FROM pages WHERE page_id < 10000""")
+@query("element_ids", """SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'elem_' || printf('%05d', page_id) ELSE 'texts/' || page_id END AS element_id,
+    'vlm_p' || (page_id % 10) || '_' || printf('%04d', page_id) || CASE WHEN page_id % 2 = 0 THEN '_' || lpad((page_id % 7)::VARCHAR, 2, '0') ELSE '' END AS engine_element_id FROM pages""")
 def element_ids(spark, sf_dir):
-    rows = table(spark, sf_dir, "pages").where("page_id < 10000")
+    rows = table(spark, sf_dir, "pages")
     i = F.col("page_id")
     ref = F.when(i % 3 != 0, F.concat(F.lit("#/texts/"), i.cast("string")))
     return rows.select("page_id", render.element_id(ref, i).alias("element_id"), render.engine_element_id(i % 10, i, F.when(i % 2 == 0, i % 7)).alias("engine_element_id"))
@@ -476,7 +476,7 @@ def cell_grid(spark, sf_dir):
 
 
 _BOX = """SELECT l_orderkey AS page, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS pos,
-    CASE WHEN l_partkey % 9 = 0 THEN 0.9 ELSE 0.25 END AS width, CASE WHEN l_partkey % 9 = 0 THEN 0.05 ELSE (l_suppkey % 3) * 0.3125 END AS "left", (l_partkey % 64) / 64.0 AS top FROM lineitem WHERE l_orderkey % 4 = 1"""
+    CASE WHEN l_partkey % 9 = 0 THEN 0.9 ELSE 0.25 END AS width, CASE WHEN l_partkey % 9 = 0 THEN 0.05 ELSE (l_suppkey % 3) * 0.3125 END AS "left", (l_partkey % 64) / 64.0 AS top FROM lineitem"""
 
 
 def boxes_of(spark, sf_dir) -> DataFrame:
@@ -485,7 +485,7 @@ def boxes_of(spark, sf_dir) -> DataFrame:
 
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
     full = F.col("l_partkey") % 9 == 0
-    return table(spark, sf_dir, "lineitem").where("l_orderkey % 4 = 1").select(
+    return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("page"), (F.row_number().over(w) - 1).cast("long").alias("pos"), F.when(full, 0.9).otherwise(0.25).alias("width"),
         F.when(full, 0.05).otherwise((F.col("l_suppkey") % 3) * F.lit(0.3125)).alias("left"), ((F.col("l_partkey") % 64) / 64).alias("top"),
     )
@@ -531,14 +531,14 @@ def _graded(spark, sf_dir):
     engine = F.when(F.col("doc_id") % 2 == 0, "vlm").otherwise("textract")
     texts = labels.select("doc_id", F.when(F.col("doc_id") % 10 == 0, "nan").otherwise(F.col("quality").cast("string")).alias("ned_similarity"), F.col("toxic").cast("string").alias("ned"))
     metrics = texts.select(engine.alias("engine"), "doc_id", report.metric("ned_similarity", "ned").alias("ned"))
-    routes = docs.where("doc_id % 3 > 0").select(engine.alias("engine"), "doc_id", F.when(F.col("doc_id") % 5 == 0, F.lit("error")).when(F.col("doc_id") % 5 == 1, F.lit("vlm")).otherwise("docling-kept").alias("route"))
-    latencies = docs.where("doc_id % 4 > 0").select(engine.alias("engine"), "doc_id", (F.col("n_chars") / 1000).alias("latency"))
+    routes = docs.select(engine.alias("engine"), "doc_id", F.when(F.col("doc_id") % 5 == 0, F.lit("error")).when(F.col("doc_id") % 5 == 1, F.lit("vlm")).otherwise("docling-kept").alias("route"))
+    latencies = docs.select(engine.alias("engine"), "doc_id", (F.col("n_chars") / 1000).alias("latency"))
     return metrics, routes, latencies
 
 
 _GRADED = f"""m AS (SELECT {_ENGINE} AS engine, doc_id, CASE WHEN doc_id % 10 = 0 THEN toxic ELSE quality END::DOUBLE AS ned FROM labels),
-    r AS (SELECT {_ENGINE} AS engine, doc_id, CASE doc_id % 5 WHEN 0 THEN 'error' WHEN 1 THEN 'vlm' ELSE 'docling-kept' END AS route FROM documents WHERE doc_id % 3 > 0),
-    l AS (SELECT {_ENGINE} AS engine, doc_id, n_chars / 1000 AS latency FROM documents WHERE doc_id % 4 > 0)"""
+    r AS (SELECT {_ENGINE} AS engine, doc_id, CASE doc_id % 5 WHEN 0 THEN 'error' WHEN 1 THEN 'vlm' ELSE 'docling-kept' END AS route FROM documents),
+    l AS (SELECT {_ENGINE} AS engine, doc_id, n_chars / 1000 AS latency FROM documents)"""
 
 
 @query("benchmark_report", f"""WITH {_GRADED} SELECT m.doc_id, max(ned) FILTER (WHERE m.engine = 'vlm') AS ned_vlm, max(ned) FILTER (WHERE m.engine = 'textract') AS ned_textract,

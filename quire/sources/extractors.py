@@ -14,7 +14,7 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from quire.functions.errors import PERMANENT_CODES, PERMANENT_HINTS, TRANSIENT_CODES, TRANSIENT_HINTS, TRANSIENT_STATUS
+from quire.constants import PERMANENT_CODES, PERMANENT_HINTS, TRANSIENT_CODES, TRANSIENT_HINTS, TRANSIENT_STATUS
 
 CELL = T.StructType([T.StructField(n, t) for n, t in (("row", T.IntegerType()), ("col", T.IntegerType()), ("text", T.StringType()), ("row_span", T.IntegerType()), ("col_span", T.IntegerType()))])
 CONTENT = T.StructType([
