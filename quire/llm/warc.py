@@ -112,6 +112,9 @@ def read_records(raw: BinaryIO, chunk: int = CHUNK) -> Iterator[tuple]:
         head, _ = _headers(stream)
         status = stream.line()
         http, size = _headers(stream)
+        lacking = {"content-length", "warc-record-id", "warc-type", "warc-payload-digest"} - head.keys()
+        if lacking or "content-length" not in http:
+            raise ValueError(f"a record's header ends early or lacks {sorted(lacking) or 'the length of its payload'}")
         left = int(head["content-length"]) - size - len(status)
         page = _number(head["warc-record-id"].strip("<>").removeprefix(SCHEME))
         digest, kind = head["warc-payload-digest"].removeprefix("sha1:"), head["warc-type"]
