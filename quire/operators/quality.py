@@ -10,10 +10,10 @@ from quire.functions.text import GARBLED, has_run, is_content, printable_length,
 SIGNALS = ("garbled_token_ratio", "mean_word_length", "dict_hit_rate", "has_repeated_char_run", "ascii_printable_ratio")
 
 
-def text_counts(text: Column) -> Column:
-    """The integers behind the signals; of a null text as of an empty one."""
+def text_counts(text: Column, words: Column | None = None) -> Column:
+    """The integers behind the signals; of a null text as of an empty one. words: its tokens, where they are at hand."""
     text = F.coalesce(text, F.lit(""))
-    words = tokens(text)
+    words = tokens(text) if words is None else words
     return F.struct(
         F.size(words).alias("n_tokens"), F.size(F.filter(words, lambda t: t.rlike(GARBLED))).alias("n_garbled"),
         F.length(F.array_join(words, "")).alias("n_token_chars"), F.size(F.filter(words, is_content)).alias("n_content"),
@@ -39,8 +39,15 @@ def signals_of(counts: Column) -> Column:
 
 
 def with_signals(df: DataFrame, text: str = "text") -> DataFrame:
-    """df with struct columns counts and signals, and passes. The counts are made once for each row."""
-    out = df.withColumn("counts", text_counts(F.col(text)))
+    """df with struct columns counts and signals, and passes.
+
+    Tokens and counts go through generators of one row, which projections aren't merged across: else each use of them would split
+    and match the text again.
+    """
+    own = [F.col(f"`{c}`") for c in df.columns if c not in ("counts", "signals", "passes")]
+    once = lambda value, name: F.inline(F.array(F.struct(value.alias(name))))
+    out = df.select(*own, once(tokens(F.coalesce(F.col(text), F.lit(""))), "_words"))
+    out = out.select(*own, once(text_counts(F.col(text), F.col("_words")), "counts"))
     out = out.withColumn("signals", signals_of(F.col("counts")))
     return out.withColumn("passes", F.size("signals.failing_signals") == 0)
 
