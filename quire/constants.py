@@ -30,7 +30,7 @@ PRICES = {"vlm": VLM_CALL, "textract": OCR_PAGE}
 # layout
 FULL_WIDTH, COLUMN_TOLERANCE, SCORE_LEAD, UPWARD = 0.85, 0.10, 0.05, 1e-6
 
-# Fixed values, which results and reports depend on: input kinds, element types, error vocabularies.
+# Fixed values, which results and reports depend on: input kinds, element types, error vocabularies, the text report.
 
 KIND_BY_SUFFIX = {
     ".pdf": "pdf", ".png": "image", ".jpg": "image", ".jpeg": "image", ".tif": "image", ".tiff": "image", ".webp": "image",
@@ -84,6 +84,12 @@ PERMANENT_HINTS = (
 )
 TRANSIENT_STATUS = (408, 425, 429)
 
+REPORT_WIDTHS = {"doc_id": 36, "route": 12, "pages": 5, "vlm_pages": 6, "routes": 22, "reason": 60}
+REPORT_TOTALS = (
+    "Total: %d docs / %d pages | used VLM: %d | vlm-failed: %d | used Textract: %d | textract-failed: %d | docling-kept: %d | errors: %d | "
+    "escalated pages: %d | throttled pages: %d"
+)
+
 WARNING_CODES = (
     "input_too_large", "unsupported_type", "unhandled_exception", "docling_failed", "page_unparseable", "vlm_table_fallback", "vlm_promoted",
     "vlm_fallback_docling", "vlm_invalid_shape", "image_unparseable", "low_confidence_page", "vlm_rejected_kept_docling",

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quire.constants import ENGINES, KEPT, LOW_CONFIDENCE, OCR_PAGE, PRICES, ROUTES, THROTTLED, TIERS, VLM_CALL
+from quire.constants import ENGINES, KEPT, LOW_CONFIDENCE, OCR_PAGE, PRICES, REPORT_TOTALS, ROUTES, THROTTLED, TIERS, VLM_CALL
+from quire.constants import REPORT_WIDTHS as WIDTHS
 
 
 def page_confidence(route: Column, engine_passes: Column, vlm_passes: Column) -> Column:
@@ -73,12 +74,10 @@ def summary(records: DataFrame) -> DataFrame:
     )
 
 
-#: Column widths of the text report.
-WIDTHS = {"doc_id": 36, "route": 12, "pages": 5, "vlm_pages": 6, "routes": 22, "reason": 60}
-
-
 def report_header() -> str:
-    return f"{'doc_id':36} {'route':12} {'pages':>5} {'vlm_pg':>6} {'routes':22} reason"
+    """The heads of the report's columns, numbers to the right."""
+    heads = {c: "vlm_pg" if c == "vlm_pages" else c for c in WIDTHS}
+    return " ".join(heads[c].rjust(w) if c.endswith("pages") else heads[c].ljust(w) for c, w in WIDTHS.items()).rstrip()
 
 
 def format_lines(records: DataFrame) -> DataFrame:
@@ -92,7 +91,7 @@ def format_lines(records: DataFrame) -> DataFrame:
 def totals_line(totals: DataFrame) -> DataFrame:
     """(line): the report's footer, from summary()."""
     return totals.select(F.format_string(
-        "Total: %d docs / %d pages | used VLM: %d | vlm-failed: %d | used Textract: %d | textract-failed: %d | docling-kept: %d | errors: %d | escalated pages: %d | throttled pages: %d",
+        REPORT_TOTALS,
         "total", "total_pages", "used_vlm", "vlm_failed", "used_textract", "textract_failed", "docling_kept", "errors", "vlm_pages", "throttled_pages",
     ).alias("line"))
 

@@ -272,3 +272,11 @@ def test_empty_tables(spark):
 def test_all_routes_have_a_place(spark):
     df = spark.createDataFrame([(r, k, r, None) for k, r in enumerate(ROUTES)], "doc_id string, page_index int, route string, reason string")
     assert rollup.route_records(df).count() == 7
+
+
+def test_report_lines_stand_under_their_heads(spark):
+    df = spark.createDataFrame([("d" * 40, "vlm", 12, 3, "vlm," * 9, "why " * 30), ("e", "error", 0, 0, "-", None)], "doc_id string, route string, pages long, vlm_pages long, routes string, reason string")
+    lines = [r["line"] for r in rollup.format_lines(df).orderBy("doc_id").collect()]
+    head = rollup.report_header()
+    assert head.index("pages") + 5 == lines[0].index("12") + 2 and head.index("vlm_pg") + 6 == lines[0].index(" 3 ") + 2 and head.index("reason") == lines[0].index("why")
+    assert lines[1] == "e" + " " * 36 + "error" + " " * 8 + "    0      0 -" + " " * 22
