@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from quire.llm.common import documents, materialised
 from quire.llm.decontamination import decontaminated
 from quire.llm.line_dedup import deduped
+from quire.llm.near_copies import one_of_each_near
 from quire.llm.packing import pack_documents
 from quire.llm.quality_rules import judged
-from quire.llm.simhash import one_of_each
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +28,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the lowest id of each group of near-duplicates."""
-    return one_of_each(docs)
+    return one_of_each_near(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -116,6 +116,8 @@ def wide_links(fp: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.nda
 
 def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Spanning links (a, b) between the distinct fingerprints in column fp that are within radius (at most 3) of each other."""
+    if radius > RADIUS:
+        raise ValueError(f"the anchors reach {RADIUS} bits, not {radius}")
 
     def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
