@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm.common import documents, materialised
 from quire.llm.decontamination import decontaminated
-from quire.llm.line_dedup import deduped
+from quire.llm.line_dedup import LONG_SITES, deduped
 from quire.llm.near_copies import one_of_each_near
 from quire.llm.packing import pack_documents
 from quire.llm.quality_rules import judged
@@ -22,8 +22,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the repeats of lines that stand on three or more sites."""
-    return deduped(docs).select(*docs.columns)
+    """Without the repeats of lines that stand on three or more sites, or on two if they have more than 50 words."""
+    return deduped(docs, long_sites=LONG_SITES).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import SPACES, documents, pinned
+from .common import SPACES, WORD, documents, pinned
 
 #: Distinct sites from which a line is boilerplate.
 SITES = 3
+#: Words beyond which a line is long, and distinct sites from which the pipeline takes a long line as boilerplate. op2 and its SQL don't tell them apart.
+LONG, LONG_SITES = 50, 2
 #: log2 of the sketch's registers, and its relative error (3 standard deviations).
 LOG_K = 10
 BAND = 3 * 1.04 / (1 << LOG_K) ** 0.5
@@ -25,30 +27,33 @@ def _lines(docs: DataFrame, site: str) -> DataFrame:
     """(doc_id, fp, site, at, line hash) of every line that counts; fp tells rows with the same doc_id apart."""
     slim = docs.select("doc_id", F.xxhash64("text").alias("fp"), F.col(site).cast("string").alias("site"), F.col("text").cast("string").alias("text"))
     lines = slim.select("doc_id", "fp", F.coalesce("site", F.lit("")).alias("site"), F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    return lines.where(F.col("line").rlike(rf"[^{SPACES}]")).select("doc_id", "fp", "site", "at", _key(F.col("line")).alias("line"))
+    # 51 words have 101 characters at least
+    long = (F.length("line") > 2 * LONG) & F.when(F.length("line") > 2 * LONG, F.regexp_count("line", F.lit(WORD)) > LONG).otherwise(False)
+    return lines.where(F.col("line").rlike(rf"[^{SPACES}]")).select("doc_id", "fp", "site", "at", _key(F.col("line")).alias("line"), long.alias("long"))
 
 
 def _key(line):
     return F.xxhash64(F.regexp_replace(line, rf"^[{SPACES}]+|[{SPACES}]+$", ""))
 
 
-def boilerplate(docs: DataFrame, site: str = "source", sites: int = SITES) -> DataFrame:
-    """(line, first): hash of each line found on at least sites distinct sites, and its first place (doc_id, fp, at)."""
-    lines = _lines(docs, site)
-    low, high = max(1.0, sites * (1 - BAND) - 1e-6), sites * (1 + BAND)
+def boilerplate(docs: DataFrame, site: str = "source", sites: int = SITES, long_sites: int | None = None) -> DataFrame:
+    """(line, first): hash of each line found on at least sites (long lines: long_sites, if given) distinct sites, and its first place (doc_id, fp, at)."""
+    need = F.lit(sites) if long_sites is None else F.when(F.col("long"), long_sites).otherwise(sites)
+    lines = _lines(docs, site).withColumn("need", need)
+    low, high = F.floor(F.greatest(F.lit(1.0), F.col("need") * (1 - BAND) - 1e-6)), F.col("need") * (1 + BAND)
     spread = pinned(
-        lines.groupBy("line")
-        .agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LOG_K))).alias("n"), F.min(F.struct("doc_id", "fp", "at")).alias("first"))
-        .where(F.col("n") >= F.lit(int(low)))
+        lines.groupBy("line", "need")
+        .agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LOG_K))).alias("n"), F.count("*").alias("times"), F.min(F.struct("doc_id", "fp", "at")).alias("first"))
+        .where((F.col("n") >= low) & (F.col("times") >= F.col("need")))
     )
     unsure = spread.where(F.col("n") <= high)
     # pairs of line and site are made distinct before the join, map-side first: it gets a line once a site, however often it stands
     pairs = lines.select("line", "site").distinct()
-    exact = pairs.join(unsure.select("line"), "line", "left_semi").groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= sites)
+    exact = pairs.join(unsure.select("line", "need"), "line").groupBy("line", "need").agg(F.count("*").alias("n")).where(F.col("n") >= F.col("need"))
     return spread.where(F.col("n") > high).select("line", "first").unionAll(unsure.join(exact.select("line"), "line", "left_semi").select("line", "first"))
 
 
-def deduped(docs: DataFrame, site: str = "source", sites: int = SITES) -> DataFrame:
+def deduped(docs: DataFrame, site: str = "source", sites: int = SITES, long_sites: int | None = None) -> DataFrame:
     """docs with boilerplate lines taken out of text, and n_removed (long).
 
     Lines are compared without the white space around them; lines without a word are never removed. A null text stays null, a
@@ -56,7 +61,7 @@ def deduped(docs: DataFrame, site: str = "source", sites: int = SITES) -> DataFr
     all equal ones keep it. A document may become empty, but no row is dropped. Other columns pass through; n_removed and n_chars
     are set anew, n_chars only where docs has it.
     """
-    found = pinned(boilerplate(docs, site, sites))
+    found = pinned(boilerplate(docs, site, sites, long_sites))
     hits = (
         _lines(docs, site).join(found, "line")
         .where(~(F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.fp") == F.col("fp")) & (F.col("first.at") == F.col("at"))))
