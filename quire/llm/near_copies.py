@@ -140,9 +140,8 @@ def components(marks: DataFrame) -> DataFrame:
 
 
 def one_of_each_near(docs: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is the smallest of their component, once each; rows without doc_id stay."""
-    marks = marked(docs)
-    rooted = marks.select("doc_id", "_n_key").join(pinned(components(marks)), "_n_key", "left").select("doc_id", F.coalesce("root", "_n_key").alias("root"))
-    keep = rooted.where("doc_id IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    first = marks.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return first.unionByName(marks.where("doc_id IS NULL")).select(*docs.columns)
+    """One row of docs of each component: that with the smallest doc_id, null ids last, and of equal ids the one read first."""
+    marks = marked(docs.withColumn("_n_row", F.monotonically_increasing_id()))  # numbered once, as the table is written
+    rooted = marks.select("_n_row", "doc_id", "_n_key").join(pinned(components(marks)), "_n_key", "left")
+    keep = rooted.groupBy(F.coalesce("root", "_n_key").alias("root")).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_n_row")).alias("first")).select(F.col("first._n_row").alias("_n_row"))
+    return marks.join(keep, "_n_row", "left_semi").select(*docs.columns)

@@ -63,3 +63,10 @@ def test_anchors_refuse_a_larger_radius(spark):
 def test_odd_shingles():
     assert len(shingles(b" \n")) == 0 and len(bands(shingles(b""))) == 0
     assert len(shingles(b"a b")) == 1 and len(shingles(b"a b c d e f")) == 2 and (shingles(b"A b") == shingles(b"a  B")).all()
+
+
+def test_repeated_and_null_ids(spark):
+    r = random.Random(3)
+    a, b, c = (" ".join(f"w{r.randrange(5000)}" for _ in range(100)) for _ in range(3))
+    docs = docs_frame(spark, [a, b, b, c, c, b], ids=[1, 1, 2, None, None, 1])
+    assert sorted(x["text"] for x in corpus_pipeline.near_dedup(spark, docs, SF).collect()) == sorted([a, b, c])
