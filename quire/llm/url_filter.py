@@ -1,7 +1,7 @@
 """URL filtering by rules and by a list of canonical URLs behind a blocked Bloom filter.
 
-A listed entry is a host with a path prefix, like "spam.example/" or "example.org/shop/". A URL is tried with each suffix of its
-host and each directory prefix of its path. The filter is built by aggregation (bitwise or of the entries of each 512-bit block),
+A listed entry is a host with a path prefix, like "spam.example/" or "example.org/shop/", or with a page's whole path, like
+"example.org/page.html". A URL is tried with each suffix of its host and each directory prefix of its path, and the whole path. The filter is built by aggregation (bitwise or of the entries of each 512-bit block),
 its size is bounded by a parameter, and only tries that pass it go to an exact hash join with the list, which removes the false
 positives: the verdicts don't depend on the filter's size.
 """
@@ -48,6 +48,7 @@ def _tries(most_labels: int, most_steps: int):
     n, m = F.size(labels), F.size(steps)
     suffixes = F.transform(F.sequence(F.lit(1), F.least(n, F.lit(most_labels))), lambda k: F.array_join(F.slice(labels, n - k + 1, k), "."))
     prefixes = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(m - 1, F.lit(most_steps)))), lambda k: F.concat(F.array_join(F.slice(steps, F.lit(1), k), "/"), F.lit("/")))
+    prefixes = F.when(F.col("path").rlike("[^/]$"), F.array_append(prefixes, F.col("path"))).otherwise(prefixes)
     return F.when(F.col("host") != "", F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(s, p)))))
 
 
