@@ -32,10 +32,11 @@ def scratch(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
 
 
-def materialised(df: DataFrame, what: str) -> DataFrame:
-    """df written as Parquet to the shared folder and read again: cuts the lineage, and survives the loss of executors."""
+def materialised(df: DataFrame, what: str, by: str | None = None) -> DataFrame:
+    """df written as Parquet to the shared folder and read again: cuts the lineage, and survives the loss of executors. by: a column
+    of few values that has a folder for each, so that a filter on it reads only those."""
     spark = df.sparkSession
-    df.write.parquet(path := scratch(spark, what))
+    (df.write.partitionBy(by) if by else df.write).parquet(path := scratch(spark, what))
     return spark.read.schema(df.schema).parquet(path)
 
 
