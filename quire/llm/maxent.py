@@ -101,16 +101,14 @@ def counted(docs: DataFrame) -> DataFrame:
 class Vocabulary:
     """The dictionary: the end, then words by falling count (ties in byte order), the first of them the head."""
 
-    def __init__(self, words: list[bytes], counts: np.ndarray, head: int):
-        self.words, self.counts, self.head = words, counts, head
+    def __init__(self, values: pa.Array, counts: np.ndarray, head: int):
+        self.values, self.counts, self.head = values, counts, head
+        #: Whether the end, which is the empty word, was counted.
+        self.has_end = len(values) > 0 and values[0].as_py() == ""
 
-    def values(self) -> pa.Array:
-        if not hasattr(self, "_values"):
-            self._values = pa.array(self.words, pa.binary()).cast(pa.string())
-        return self._values
-
-    def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "_values"}
+    @property
+    def words(self) -> list[bytes]:
+        return self.values.cast(pa.binary()).to_pylist()
 
 
 def vocabulary_of(counts: DataFrame) -> tuple[Vocabulary, int, int]:
@@ -123,10 +121,13 @@ def vocabulary_of(counts: DataFrame) -> tuple[Vocabulary, int, int]:
             least = r["n"] + 1
             break
         held += r["count"]
-    rows = [(r[1], bytes(r[0])) for r in counts.where(F.col("n") >= least).select("word", "n").collect()]  # at most DICTIONARY
-    rows.sort(key=lambda x: (x[1] != END, -x[0], x[1]))
-    frequent = sum(n >= LEAST or w == END for n, w in rows)
-    return Vocabulary([w for _, w in rows], np.array([n for n, _ in rows], np.int64), min(ARITY**3, frequent)), size["n"] or 0, size["v"]
+    rows = counts.where(F.col("n") >= least).select("word", "n", (F.length("word") == 0).alias("end")).toArrow()  # at most DICTIONARY
+    rows = rows.sort_by([("end", "descending"), ("n", "descending"), ("word", "ascending")]).combine_chunks()
+    n = rows.column("n").to_numpy().astype(np.int64)
+    words = pa.array([], pa.string()) if not len(n) else rows.column("word").combine_chunks().cast(pa.string())
+    words = words.chunk(0) if isinstance(words, pa.ChunkedArray) else words
+    frequent = int(((n >= LEAST) | rows.column("end").to_numpy()).sum())
+    return Vocabulary(words, n, min(ARITY**3, frequent)), size["n"] or 0, size["v"]
 
 
 def binaries(data: np.ndarray, lengths: np.ndarray) -> pa.Array:
@@ -151,14 +152,14 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary, held_out, rounds: int, buck
             for start, part in slices(b.column(b.num_columns - 1)):
                 words, doc = words_of(part)
                 n = np.bincount(doc, minlength=len(part))
-                at = pc.index_in(words, value_set=v.values().cast(words.type)).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+                at = pc.index_in(words, value_set=v.values.cast(words.type)).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
                 low = np.flatnonzero((at < 0) | (at >= v.head))
                 ids = at.copy()
                 ids[low] = v.head + tails_of(words.take(pa.array(low)))
                 ends = np.cumsum(n + 1) - 1
                 whole = np.empty(len(ids) + len(n), "<u2")
                 whole[np.arange(len(ids)) + doc] = ids
-                has_end = int(bool(v.words) and v.words[0] == END)
+                has_end = int(v.has_end)
                 whole[ends] = 0 if has_end else v.head + TAILS - 1
                 tail = np.bincount(doc[low], log_count[at[low]], len(n)).astype(float)  # of no words at all NumPy's sums are integers
                 logs = np.bincount(doc, log_count[at], len(n)) + has_end * log_count[0]
@@ -275,14 +276,15 @@ def levels(tree: Tree, ids: np.ndarray, before: tuple[np.ndarray, np.ndarray]):
 
 
 class Weights:
-    """tables[level][feature] (rows, outputs) and biases[level] (nodes, outputs)."""
+    """tables[level][feature] (rows, outputs) and biases[level] (nodes, outputs). They travel, and are held between rounds, as float16."""
 
     def __init__(self, tree: Tree, biases: list[np.ndarray], rows: int, tables: list[list[np.ndarray]] | None = None):
         self.tree, self.biases, self.rows = tree, biases, rows
-        self.tables = tables or [[np.zeros((rows, w), np.float32) for _ in range(FEATURES)] for w in tree.width]
+        self.tables = tables or [[np.zeros((rows, w), np.float16) for _ in range(FEATURES)] for w in tree.width]
 
-    def copy(self) -> Weights:
-        return Weights(self.tree, self.biases, self.rows, [[t.copy() for t in level] for level in self.tables])
+    def single(self) -> Weights:
+        """A copy in single precision, to compute with."""
+        return Weights(self.tree, self.biases, self.rows, [[t.astype(np.float32) for t in level] for level in self.tables])
 
     def log_probability(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Natural log of each token's probability: of the word if it is in the head, else of its tail class."""
@@ -326,7 +328,7 @@ class Learner:
     """Gradient steps of one bucket."""
 
     def __init__(self, start: Weights, rate: float, tokens: int = STEP):
-        self.start, self.now, self.rate, self.tokens = start, start.copy(), rate, tokens
+        self.start, self.now, self.rate, self.tokens = start, start.single(), rate, tokens
         self.squares = [[np.zeros(start.rows, np.float32) for _ in level] for level in start.tables]
         self.times = [[np.zeros(start.rows, np.int32) for _ in level] for level in start.tables]
         self.held: list[bytes] = []
@@ -410,10 +412,10 @@ def averaged(rows: DataFrame, parts: int) -> DataFrame:
 
 def tail_counts(counts: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
     """(tail class; tokens, distinct words) of the counted words that aren't in the head."""
-    shared = counts.sparkSession.sparkContext.broadcast(vocabulary.words[: vocabulary.head])
+    shared = counts.sparkSession.sparkContext.broadcast(vocabulary.values.slice(0, vocabulary.head).cast(pa.binary()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, head = np.zeros((TAILS, 2), np.int64), pa.array(shared.value, pa.binary())
+        out, head = np.zeros((TAILS, 2), np.int64), shared.value
         for b in batches:
             low = pc.invert(pc.is_in(b.column(0), value_set=head))
             tail, n = tails_of(b.column(0).filter(low).cast(pa.string())), b.column(1).filter(low).to_numpy()
@@ -477,7 +479,9 @@ class Model:
 
     def log10_of(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
         """log10 probability of each token; of a tail word without the logarithm of one more than its count."""
-        z = self.weights.log_probability(ids, first) / np.log(10)
+        if not hasattr(self, "_single"):
+            self._single, self.weights = self.weights.single(), None
+        z = self._single.log_probability(ids, first) / np.log(10)
         tail = ids >= self.vocabulary.head
         z[tail] -= np.log10(self.tails.sum(1) + 1.0)[ids[tail] - self.vocabulary.head]
         return z
@@ -516,12 +520,14 @@ def trained(table: DataFrame, counts: DataFrame, vocabulary: Vocabulary, total:
 
         own = table.where(F.col("round") == number).select("bucket", "ids", "doc_id", "h").repartition("bucket").sortWithinPartitions("bucket", "doc_id", "h").select("bucket", "ids")
         moves = own.mapInArrow(steps, "part long, block long, times binary, moves binary")
-        where, weights = blocks(weights), weights.copy()
-        for r in averaged(moves, buckets).select("block", "moves").collect():  # the size of the weights
-            level, k, lo = where[r["block"]]
-            t = weights.tables[level][k]
-            t[lo : lo + BLOCK] += np.frombuffer(r["moves"], "<f2").reshape(-1, t.shape[1])
+        got = averaged(moves, buckets).select("block", "moves").toArrow()  # the size of the weights
+        where = blocks(weights)
+        for block, move in zip(got.column(0).to_pylist(), got.column(1)):
+            level, k, lo = where[block]
+            t = weights.tables[level][k]  # changed in place: the workers have theirs
+            t[lo : lo + BLOCK] = t[lo : lo + BLOCK].astype(np.float32) + np.frombuffer(move.as_buffer(), "<f2").reshape(-1, t.shape[1])
         start.unpersist()
+        del got
     return Model(vocabulary, weights, total, distinct, tails)
 
 

@@ -106,15 +106,16 @@ def test_steps_follow_the_gradient():
     weights = maxent.Weights(tree, tree.biases(np.ones(30), np.ones(4)), 64)
     for level in weights.tables:
         for t in level:
-            t += r.normal(0, 0.3, t.shape).astype(np.float32)
+            t += r.normal(0, 0.3, t.shape).astype(t.dtype)
     ids, first = r.integers(0, 34, 400), np.arange(400)
     before = maxent.histories(ids, first)
     learner = maxent.Learner(weights, 1e-3)
     learner.step(ids, before)
-    loss = lambda: -weights.log_probability(ids, first).sum()
+    single = weights.single()
+    loss = lambda: -single.log_probability(ids, first).sum()
     for level in range(3):
         for k in range(3):
-            t, moved = weights.tables[level][k], learner.now.tables[level][k] - weights.tables[level][k]
+            t, moved = single.tables[level][k], learner.now.tables[level][k] - weights.tables[level][k]
             for row, out in zip(r.integers(0, 64, 6), r.integers(0, tree.width[level], 6)):
                 t[row, out] += 0.01
                 up = loss()
