@@ -46,6 +46,16 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def small(df: DataFrame, most: int = 400_000) -> DataFrame:
+    """df, marked for broadcast if it has at most most rows (which the caller keeps narrow); it should be pinned, as it is counted."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def free(columns: list[str], prefix: str) -> list[str]:
+    """columns, of which those that begin with an operator's own prefix have other names that clash with none."""
+    return [f"~{k}~{c}" if c.startswith(prefix) else c for k, c in enumerate(columns)]
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

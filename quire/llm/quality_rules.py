@@ -72,8 +72,7 @@ def judged(docs: DataFrame, host: str = "source", host_rate: float = HOST_RATE,
     # through a generator, which no filter is pushed below: else a filter on the verdict would put the array expressions into each other
     result = F.struct(*(c(x).alias(x) for x in names), base.alias("base_failed"), failed.alias("failed"), F.col(host).alias(P + "host"))
     rows = counted.select(*(F.col(x) for x in own), F.inline(F.array(result)))
-    if "text" not in own:  # narrow rows are written once; with the texts, counting them again is cheaper than writing them
-        rows = materialised(rows, "quality")
+    rows = materialised(rows, "quality")  # counted once, for the hosts and for the result
 
     hosts = pinned(rows.groupBy(P + "host").agg(F.count("*").alias(P + "n"), F.count_if("failed").alias(P + "f")))
     n, f = F.col(P + "n"), F.col(P + "f")

@@ -21,7 +21,8 @@ WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 # ---- line dedup ----------------------------------------------------------------------------------------------------------------
 
 
-def brute_dedup(rows, sites=3):
+def brute_dedup(rows, sites=3, long_sites=None):
+    need = lambda x: sites if long_sites is None or len(WORDS.findall(x)) <= 50 else long_sites
     strip = lambda x: x.strip(" \t\n\x0b\x0c\r")
     seen, first = {}, {}
     for i, t, s in sorted(rows, key=lambda r: r[0]):
@@ -32,7 +33,7 @@ def brute_dedup(rows, sites=3):
     out = {}
     for i, t, s in rows:
         lines = None if t is None else t.split("\n")
-        gone = [k for k, x in enumerate(lines or []) if strip(x) and len(seen[strip(x)]) >= sites and first[strip(x)] != (i, k)]
+        gone = [k for k, x in enumerate(lines or []) if strip(x) and len(seen[strip(x)]) >= need(x) and first[strip(x)] != (i, k)]
         out[i] = (None if lines is None else "\n".join(x for k, x in enumerate(lines) if k not in gone), len(gone))
     return out
 
