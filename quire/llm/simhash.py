@@ -214,14 +214,6 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     return fps.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The rows of docs whose doc_id is that of their component, once each; rows without doc_id stay."""
-    ids = near_duplicates(docs, radius)
-    keep = ids.where("doc_id = component_id").select("doc_id").distinct()
-    first = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return first.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
-
-
 def op10_simhash(spark, sf_dir: str) -> DataFrame:
     from .common import documents
 

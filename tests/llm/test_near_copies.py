@@ -70,3 +70,31 @@ def test_repeated_and_null_ids(spark):
     a, b, c = (" ".join(f"w{r.randrange(5000)}" for _ in range(100)) for _ in range(3))
     docs = docs_frame(spark, [a, b, b, c, c, b], ids=[1, 1, 2, None, None, 1])
     assert sorted(x["text"] for x in corpus_pipeline.near_dedup(spark, docs, SF).collect()) == sorted([a, b, c])
+
+
+def test_split_buckets_lose_no_link(spark):
+    """Buckets far beyond the bound of a task: a large group of near copies, and chains whose ends are unlike each other."""
+    from quire.llm import near_copies as nc
+
+    r = random.Random(11)
+    base = [f"w{r.randrange(9000)}" for _ in range(200)]
+    texts = [edited(base, r, 2) for _ in range(60)]
+    for _ in range(3):
+        words = [f"v{r.randrange(9000)}" for _ in range(120)]
+        for _ in range(15):  # each like the one before it
+            words = words[4:] + [f"v{r.randrange(9000)}" for _ in range(4)]
+            texts.append(" ".join(words))
+    marks = nc.marked(docs_frame(spark, texts))
+    want = sorted(map(tuple, nc.named_roots(nc.similar_links(marks)).collect()))
+    got = sorted(map(tuple, nc.named_roots(nc.similar_links(marks, members=4)).collect()))
+    assert len(want) == len(texts) and len({x[1] for x in want}) == 4 and {frozenset(k for k, y in got if y == x) for _, x in got} == {frozenset(k for k, y in want if y == x) for _, x in want}
+    pairs = {frozenset(p) for p in brute_pairs(texts)}
+    assert pairs and all(x in pairs for x in ({k, k + 1} for k in range(60, 74)))
+
+
+def test_clashing_columns_stay(spark):
+    from pyspark.sql import functions as F
+
+    docs = docs_frame(spark, ["a b c", "a b c", None]).withColumn("_n_row", F.lit("x")).withColumn("_n_key", F.lit(None).cast("string"))
+    out = corpus_pipeline.near_dedup(spark, docs, SF)
+    assert out.columns == docs.columns and [(x["doc_id"], x["_n_row"], x["_n_key"]) for x in out.orderBy("doc_id").collect()] == [(0, "x", None), (2, "x", None)]

@@ -5,6 +5,7 @@ from quire.llm.decontamination import Index
 from quire.llm.packing import WordIds, tokenizer_path
 
 from .helpers import ODD, SF, docs_frame, table
+from .test_near_copies import brute_pairs
 from .test_simhash import brute_components, brute_fingerprint
 from .test_text_operators import brute_counts, brute_dedup
 
@@ -20,6 +21,21 @@ def brute_hosts(rows, failed):
     return {h: (f[h] + mean * strength) / (n[h] + strength) for h in n}
 
 
+def brute_near_copies(ids, texts):
+    """The smallest id of each row's component: linked by fingerprints of at most 3 differing bits, or by five-word shingles with a similarity of at least 0.8."""
+    root = brute_components(ids, [brute_fingerprint(t) for t in texts])
+    links = [(root[i], root[j]) for i, j in brute_pairs(texts)]
+    while True:
+        name = {}
+        for a, b in links:
+            name[max(a, b)] = min(name.get(max(a, b), a), a, b)
+        name = {a: b for a, b in name.items() if a != b}
+        if not name:
+            return root
+        root = [name.get(r, r) for r in root]
+        links = [(name.get(a, a), name.get(b, b)) for a, b in links]
+
+
 def brute_pipeline(docs, items):
     failed = {}
     for d in docs:
@@ -28,9 +44,9 @@ def brute_pipeline(docs, items):
         failed[d["doc_id"]] = base or 100 * symbols > 30 * n or 100 * dup > 60 * lines
     rates = brute_hosts(docs, failed)
     kept = [d for d in docs if not failed[d["doc_id"]] and rates[d["source"]] <= 0.5]
-    cut = brute_dedup([(d["doc_id"], d["text"], d["source"]) for d in kept])
+    cut = brute_dedup([(d["doc_id"], d["text"], d["source"]) for d in kept], long_sites=2)
     ids = [d["doc_id"] for d in kept]
-    roots = brute_components(ids, [brute_fingerprint(cut[i][0]) for i in ids])
+    roots = brute_near_copies(ids, [cut[i][0] for i in ids])
     index = Index(items)
     texts = {i: cut[i][0] or "" for i, r in zip(ids, roots) if i == r}
     return {i: t for i, t in texts.items() if not index.leaks([t.encode()])}
