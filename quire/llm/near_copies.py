@@ -25,7 +25,7 @@ from .simhash import connected, fingerprint, links
 WORDS, SIMILAR = 5, 0.8
 BANDS, ROWS = 16, 4
 #: Members of a bucket that are compared in one task, and entries of a worker's cache of word hashes.
-MEMBERS, CACHE = 1024, 1_000_000
+MEMBERS, CACHE = 1024, 100_000
 SEED = 43
 _ODD = np.random.default_rng(5).integers(1, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -81,11 +81,14 @@ def marked(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = bytes_of(b.column(b.num_columns - 1))
-            fp = np.fromiter((fingerprint(x) for x in texts), np.uint64, len(texts))
-            sets = [shingles(x) for x in texts]
-            key = np.fromiter((xx(x.tobytes(), SEED) for x in sets), np.uint64, len(sets))
-            more = [pa.array(fp.view(np.int64)), pa.array(key.view(np.int64)), pa.array([bands(s) for s in sets], pa.list_(pa.int64()))]
+            n, place = b.num_rows, b.num_columns - 1
+            fp, key, found = np.empty(n, np.uint64), np.empty(n, np.uint64), []
+            for k in range(n):  # a text and its shingles at a time
+                text = (b.column(place)[k].as_py() or "").encode()
+                own = shingles(text)
+                fp[k], key[k] = fingerprint(text), xx(own.tobytes(), SEED)
+                found.append(bands(own))
+            more = [pa.array(fp.view(np.int64)), pa.array(key.view(np.int64)), pa.array(found, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], *more], [*b.schema.names[:-1], "_n_fp", "_n_key", "_n_bands"])
 
     numbered = docs.withColumn("_n_row", F.monotonically_increasing_id())  # numbered once, as the table is written
