@@ -7,6 +7,7 @@ from dataclasses import dataclass
 # quality gate
 GARBLED_MOST, WORD_LEAST, CONTENT_LEAST, PRINTABLE_LEAST = 0.20, 2.0, 0.50, 0.90
 RUN_MOST = 6  # longest run of one character that passes
+RUN_REASON = "repeated_char_run"  # how reasons name that signal
 LAYER_TOKENS_LEAST, COVERAGE_LEAST = 30, 0.30
 LOW_GRADES = ("poor", "fair")
 

@@ -23,8 +23,8 @@ def from_json_blocks(blocks: Column) -> Column:
 
 
 def children(blocks: DataFrame, types: tuple[str, ...] | None = None) -> DataFrame:
-    """(doc_id, parent, parent_type, at, child columns...) for each resolved child, in the parent's order; dangling ids fall away."""
-    edge = blocks.select("doc_id", F.col("id").alias("parent"), F.col("block_type").alias("parent_type"), F.posexplode("children").alias("at", "id"))
+    """(doc_id, parent, parent_type, parent_pos, at, child columns...) for each resolved child, in the parent's order; dangling ids fall away."""
+    edge = blocks.select("doc_id", F.col("id").alias("parent"), F.col("block_type").alias("parent_type"), F.col("pos").alias("parent_pos"), F.posexplode("children").alias("at", "id"))
     kids = blocks if types is None else blocks.where(F.col("block_type").isin(*types))
     return edge.join(kids.drop("children"), ["doc_id", "id"])
 
@@ -67,10 +67,21 @@ def tables(blocks: DataFrame) -> DataFrame:
 
 
 def native_order(blocks: DataFrame) -> DataFrame:
-    """(doc_id, id, place) of layout blocks by the children of PAGE blocks, each at its first place; without a PAGE by input order."""
-    pages = children(blocks).where("parent_type = 'PAGE' AND startswith(block_type, 'LAYOUT_')").groupBy("doc_id", "id").agg(F.min("at").alias("place"))
-    lone = blocks.join(blocks.where("block_type = 'PAGE'").select("doc_id").distinct(), "doc_id", "left_anti").where(F.col("block_type").startswith("LAYOUT_"))
-    return pages.unionByName(lone.select("doc_id", "id", F.col("pos").alias("place")))
+    """(doc_id, id, place) of layout blocks: the children of one PAGE block after the other, each at its first place.
+
+    Documents whose PAGE blocks hold no layout block have the order that reconciled() finds by geometry; without boxes (no column box)
+    the input order.
+    """
+    laid = blocks.where(F.col("block_type").startswith("LAYOUT_"))
+    kids = children(blocks.where("block_type = 'PAGE'").unionByName(laid)).where("parent_type = 'PAGE' AND startswith(block_type, 'LAYOUT_')")
+    first = kids.groupBy("doc_id", "id").agg(F.min(F.struct("parent_pos", "at")).alias("_p"))
+    told = first.select("doc_id", "id", (F.row_number().over(Window.partitionBy("doc_id").orderBy("_p")) - 1).alias("place"))
+    lone = laid.join(told.select("doc_id").distinct(), "doc_id", "left_anti")
+    if "box" not in blocks.columns:
+        return told.unionByName(lone.select("doc_id", "id", F.col("pos").alias("place")))
+    boxes = lone.select("doc_id", "id", "pos", "box.left", "box.top", "box.width")
+    zero = boxes.withColumn("top", F.coalesce("top", F.lit(0.0)))
+    return told.unionByName(reconciled(zero, "doc_id").select("doc_id", "id", F.col("place").cast("int").alias("place")))
 
 
 def first_tables(blocks: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quire.constants import CONTENT_LEAST, COVERAGE_LEAST, GARBLED_MOST, LAYER_TOKENS_LEAST, LOW_GRADES, PRINTABLE_LEAST, WORD_LEAST
+from quire.constants import CONTENT_LEAST, COVERAGE_LEAST, GARBLED_MOST, LAYER_TOKENS_LEAST, LOW_GRADES, PRINTABLE_LEAST, RUN_REASON, WORD_LEAST
 from quire.functions.text import GARBLED, has_run, is_content, printable_length, strip, tokens
 
 SIGNALS = ("garbled_token_ratio", "mean_word_length", "dict_hit_rate", "has_repeated_char_run", "ascii_printable_ratio")
@@ -70,17 +70,35 @@ def coverage_decision(extracted: Column, layer_tokens: Column) -> Column:
     return F.when(low, decision(reason, 1))
 
 
-def signal_text(signals: Column) -> Column:
-    """Failing signals with their values, comma-joined. Java rounds half up; codes and ratios stay in their own columns."""
-    value = F.create_map(*(x for s in (SIGNALS[0], SIGNALS[1], SIGNALS[2], SIGNALS[4]) for x in (F.lit(s), F.format_string("%.2f", signals[s]))))
-    return F.array_join(F.transform(signals["failing_signals"], lambda s: F.concat(s, F.coalesce(F.concat(F.lit("="), F.try_element_at(value, s)), F.lit("")))), ", ")
+def two_places(n: Column, d: Column) -> Column:
+    """The double n / d of two integers (below 2 ** 20 or so) with two places, rounded exactly; Java's own formatting rounds what it prints of it.
+
+    Only where n / d lies halfway in decimal does the double's own error decide; it is found without rounding in two halves of the double.
+    """
+    n, d = n.cast("long"), d.cast("long")
+    down = F.floor(100 * n / d)
+    down = F.when(down * d > 100 * n, down - 1).when((down + 1) * d <= 100 * n, down + 1).otherwise(down).cast("long")
+    rest = 2 * (100 * n - down * d)
+    value = n / d
+    high = value.cast("float").cast("double")
+    error = (high * 200 - (2 * down + 1)) + (value - high) * 200
+    up = F.when(rest != d, rest > d).when(error != 0, error > 0).otherwise(down % 2 == 1)
+    hundredths = down + up.cast("long")
+    return F.concat(F.floor(hundredths / 100).cast("string"), F.lit("."), F.lpad((hundredths % 100).cast("string"), 2, "0"))
+
+
+def signal_text(signals: Column, counts: Column) -> Column:
+    """Failing signals with their values, comma-joined; a run of characters has none."""
+    n, chars = counts["n_tokens"], counts["n_chars"]
+    parts = {SIGNALS[0]: (counts["n_garbled"], n), SIGNALS[1]: (counts["n_token_chars"], n), SIGNALS[2]: (counts["n_content"], n), SIGNALS[4]: (counts["n_printable"], chars)}
+    told = [F.when(F.array_contains(signals["failing_signals"], s), F.concat(F.lit(f"{s}="), two_places(*parts[s])) if s in parts else F.lit(RUN_REASON)) for s in SIGNALS]
+    return F.when(n > 0, F.concat_ws(", ", *told)).otherwise(F.array_join(signals["failing_signals"], ", "))
 
 
-def heuristic_decision(text: Column, signals: Column, with_values: bool = False) -> Column:
+def heuristic_decision(text: Column, signals: Column, counts: Column) -> Column:
     """Promotion for failing signals; null for a blank text, of which nothing is known."""
-    what = signal_text(signals) if with_values else F.array_join(signals["failing_signals"], ", ")
     fails = (strip(text) != "") & (F.size(signals["failing_signals"]) > 0)
-    return F.when(fails, decision(F.concat(F.lit("heuristic_failed: "), what), 2))
+    return F.when(fails, decision(F.concat(F.lit("heuristic_failed: "), signal_text(signals, counts)), 2))
 
 
 def keep() -> Column:
@@ -120,5 +138,5 @@ def gated(pages: DataFrame, grades: DataFrame | None = None, layers: DataFrame |
     out = out.withColumn("text_layer_tokens", F.lit(None).cast("long")) if layers is None else out.join(layers.select(*key, "text_layer_tokens"), key, "left")
     return out.withColumn("decision", F.coalesce(
         grade_decision(F.col("low_grade"), F.col("mean_grade")), coverage_decision(F.col("extracted_tokens"), F.col("text_layer_tokens")),
-        heuristic_decision(F.col("page_text"), F.col("signals")), keep(),
+        heuristic_decision(F.col("page_text"), F.col("signals"), F.col("counts")), keep(),
     ))

@@ -54,6 +54,10 @@ FAILING = """list_filter([CASE WHEN n_garbled / n_tokens > 0.20 THEN 'garbled_to
     CASE WHEN n_content / n_tokens < 0.50 THEN 'dict_hit_rate' END, CASE WHEN has_run THEN 'has_repeated_char_run' END,
     CASE WHEN n_printable / n_chars < 0.90 THEN 'ascii_printable_ratio' END], lambda s: s IS NOT NULL)"""
 CODES = f"CASE WHEN n_tokens = 0 THEN 'empty_text' ELSE array_to_string({FAILING}, ', ') END"
+REASONS = """array_to_string(list_filter([CASE WHEN n_garbled / n_tokens > 0.20 THEN 'garbled_token_ratio=' || printf('%.2f', n_garbled / n_tokens) END,
+    CASE WHEN n_token_chars / n_tokens < 2.0 THEN 'mean_word_length=' || printf('%.2f', n_token_chars / n_tokens) END,
+    CASE WHEN n_content / n_tokens < 0.50 THEN 'dict_hit_rate=' || printf('%.2f', n_content / n_tokens) END, CASE WHEN has_run THEN 'repeated_char_run' END,
+    CASE WHEN n_printable / n_chars < 0.90 THEN 'ascii_printable_ratio=' || printf('%.2f', n_printable / n_chars) END], lambda s: s IS NOT NULL), ', ')"""
 
 LINES = """lines AS (SELECT doc_id, (i - 1)::INT AS ln, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
     generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL))"""
@@ -64,10 +68,10 @@ GRADES = """CASE WHEN doc_id % 7 = 0 THEN 'POOR' WHEN doc_id % 13 = 0 THEN 'good
     CASE WHEN page_index % 3 = 0 THEN (doc_id % 90)::BIGINT END AS text_layer_tokens"""
 DECIDED = f"""{PAGES}, counted AS (SELECT p.*, c.* EXCLUDE (doc_id, page_index, x) FROM page p JOIN {counts_sql('page', 'doc_id, page_index', 'page_text')} c USING (doc_id, page_index)),
 own AS (SELECT doc_id, page_index, {CODES} = '' AS passes FROM {counts_sql('page', 'doc_id, page_index', 'markdown')}),
-told AS (SELECT *, {GRADES}, {CODES} AS codes FROM counted),
+told AS (SELECT *, {GRADES}, {CODES} AS codes, {REASONS} AS told FROM counted),
 reasoned AS (SELECT *, CASE WHEN lower(low_grade) IN ('poor', 'fair') THEN 'docling_low_grade=' || low_grade WHEN lower(mean_grade) IN ('poor', 'fair') THEN 'docling_mean_grade=' || mean_grade
     WHEN text_layer_tokens >= 30 AND extracted_tokens < 0.30 * text_layer_tokens THEN 'low_coverage: extracted ' || extracted_tokens || ' of ' || text_layer_tokens || ' text-layer tokens'
-    WHEN {STRIP('page_text')} <> '' AND codes <> '' THEN 'heuristic_failed: ' || codes END AS reason FROM told),
+    WHEN {STRIP('page_text')} <> '' AND codes <> '' THEN 'heuristic_failed: ' || told END AS reason FROM told),
 decided AS (SELECT r.*, passes, CASE WHEN reason IS NULL THEN 'keep' ELSE 'promote_to_vlm' END AS action,
     CASE WHEN reason IS NULL THEN NULL WHEN starts_with(reason, 'heuristic') THEN 2 ELSE 1 END AS layer FROM reasoned r JOIN own USING (doc_id, page_index))"""
 
@@ -469,16 +473,39 @@ def block_graph_text(spark, sf_dir):
     return long_id(layout.elements(blocks_of(spark, sf_dir))).select("doc_id", "seq", "type", "text", "table_id")
 
 
+_BOX = """SELECT l_orderkey AS page, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS pos,
+    CASE WHEN l_partkey % 9 = 0 THEN 0.9 ELSE 0.25 END AS width, CASE WHEN l_partkey % 9 = 0 THEN 0.05 ELSE (l_suppkey % 3) * 0.3125 END AS "left", (l_partkey % 64) / 64.0 AS top FROM lineitem"""
+
+
+def sheets_of(spark, sf_dir, paged: bool) -> DataFrame:
+    """Lines of orders as text blocks of a page, with boxes; paged: two PAGE blocks hold them, the even ones last, both naming the first block."""
+    boxes, none = boxes_of(spark, sf_dir), F.lit(None)
+    k, n = F.col("page").cast("string"), F.col("pos").cast("string")
+    box = F.struct("left", "top", "width", F.lit(0.1).alias("height")).alias("box")
+    laid = boxes.select(k.alias("doc_id"), F.concat(F.lit("b"), n).alias("id"), (F.col("pos") + 2).cast("int").alias("pos"), F.lit("LAYOUT_TEXT").alias("block_type"), none.cast("string").alias("text"), F.array(F.concat(F.lit("l"), n)).alias("children"), box)
+    lines = boxes.select(k.alias("doc_id"), F.concat(F.lit("l"), n).alias("id"), (F.col("pos") + 100).cast("int").alias("pos"), F.lit("LINE").alias("block_type"), n.alias("text"), F.array().cast("array<string>").alias("children"), none.cast(laid.schema["box"].dataType).alias("box"))
+    out = laid.unionByName(lines).withColumns({"selected": none.cast("boolean"), "row": none.cast("int"), "col": none.cast("int"), "row_span": none.cast("int"), "col_span": none.cast("int"), "entity_types": none.cast("array<string>")})
+    if not paged:
+        return out
+    kids = boxes.groupBy("page").agg(F.sort_array(F.collect_list("pos")).alias("ns"))
+    some = lambda odd: F.concat(F.transform(F.filter("ns", lambda x: x % 2 == odd), lambda x: F.concat(F.lit("b"), x.cast("string"))), F.array(F.lit("b0")))
+    pages = kids.select(F.col("page").cast("string").alias("doc_id"), F.posexplode(F.array(some(1), some(0))).alias("pos", "children"))
+    pages = pages.select("doc_id", F.concat(F.lit("page"), F.col("pos").cast("string")).alias("id"), "pos", F.lit("PAGE").alias("block_type"), "children")
+    return out.unionByName(pages, allowMissingColumns=True)
+
+
+@query("block_order_by_page", f"""WITH b AS ({_BOX}), o AS (SELECT page, pos, CASE WHEN pos = 0 THEN 1.5 WHEN pos % 2 = 1 THEN 1 ELSE 2 END AS sheet FROM b)
+    SELECT page AS doc_id, (row_number() OVER (PARTITION BY page ORDER BY sheet, pos) - 1)::INT AS seq, pos::VARCHAR AS text FROM o""")
+def block_order_by_page(spark, sf_dir):
+    return long_id(layout.elements(sheets_of(spark, sf_dir, True))).select("doc_id", "seq", "text")
+
+
 @query("cell_grid", f"""WITH {_LI} SELECT l_orderkey AS doc_id, max(n)::INT AS rows, 1 AS cols, 1 AS header_rows, string_agg((n - 1) || ':' || f || CASE WHEN p % 2 = 0 THEN ' [X]' ELSE ' [ ]' END, ',' ORDER BY n) AS cells FROM li GROUP BY ALL""")
 def cell_grid(spark, sf_dir):
     cells = F.array_join(F.transform("cells", lambda c: F.concat(c["row"].cast("string"), F.lit(":"), c["text"])), ",")
     return long_id(layout.tables(blocks_of(spark, sf_dir))).select("doc_id", "rows", "cols", "header_rows", cells.alias("cells"))
 
 
-_BOX = """SELECT l_orderkey AS page, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS pos,
-    CASE WHEN l_partkey % 9 = 0 THEN 0.9 ELSE 0.25 END AS width, CASE WHEN l_partkey % 9 = 0 THEN 0.05 ELSE (l_suppkey % 3) * 0.3125 END AS "left", (l_partkey % 64) / 64.0 AS top FROM lineitem"""
-
-
 def boxes_of(spark, sf_dir) -> DataFrame:
     """Lines of orders as boxes on a page: full-width, or in one of three columns."""
     from pyspark.sql import Window
@@ -520,6 +547,12 @@ def reading_order_valve(spark, sf_dir):
     return layout.reconciled(boxes_of(spark, sf_dir)).select("page", "pos", "adopted", "place")
 
 
+@query("block_order_by_geometry", f"""WITH {_PLACED}, a AS {_score_sql('plain', 'o')}, g AS {_score_sql('geo', 'o')}
+    SELECT o.page AS doc_id, (CASE WHEN g.score > a.score + 0.05 THEN o.geo ELSE o.plain END)::INT AS seq, o.pos::VARCHAR AS text FROM o JOIN a ON o.page = a.page JOIN g ON o.page = g.page""")
+def block_order_by_geometry(spark, sf_dir):
+    return long_id(layout.elements(sheets_of(spark, sf_dir, False))).select("doc_id", "seq", "text")
+
+
 # ---- reports ------------------------------------------------------------------------------------------------------------------
 
 _ENGINE = "CASE WHEN doc_id % 2 = 0 THEN 'vlm' ELSE 'textract' END"

@@ -280,3 +280,16 @@ def test_report_lines_stand_under_their_heads(spark):
     head = rollup.report_header()
     assert head.index("pages") + 5 == lines[0].index("12") + 2 and head.index("vlm_pg") + 6 == lines[0].index(" 3 ") + 2 and head.index("reason") == lines[0].index("why")
     assert lines[1] == "e" + " " * 36 + "error" + " " * 8 + "    0      0 -" + " " * 22
+
+
+def test_two_places_like_correct_rounding(spark):
+    """Every ratio below 2 with a divisor up to 400: halfway cases go by the double's own error, exact ones to the even digit."""
+    pairs = [(n, d) for d in range(1, 401) for n in range(2 * d)]
+    df = spark.createDataFrame(pairs, "n long, d long").select("n", "d", quality.two_places(F.col("n"), F.col("d")).alias("t"))
+    assert [(r["n"], r["d"], r["t"]) for r in df.collect() if r["t"] != f"{r['n'] / r['d']:.2f}"] == []
+
+
+def test_reasons_have_values(spark):
+    pages = spark.createDataFrame([("d", 0, "a1 b2 c3", 3), ("d", 1, "a b c ........", 4)], "doc_id string, page_index int, page_text string, extracted_tokens long")
+    got = {r["page_index"]: r["decision"]["reason"] for r in quality.gated(pages).collect()}
+    assert got == {0: "heuristic_failed: garbled_token_ratio=1.00, dict_hit_rate=0.00", 1: "heuristic_failed: repeated_char_run"}
