@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -15,7 +17,8 @@ WORD = rf"[^{SPACES}]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one of our own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only where the driver is the whole cluster, an unset one is
+    replaced by a folder of our own, which goes when Python ends."""
     sc = spark.sparkContext
     where = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if where:
@@ -23,7 +26,11 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(where)
         return where
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="quire-"))
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir is unset: the driver and the executors need a folder that they share")
+        own = tempfile.mkdtemp(prefix="quire-")
+        atexit.register(shutil.rmtree, own, True)
+        sc.setCheckpointDir(own)
     return sc.getCheckpointDir()
 
 

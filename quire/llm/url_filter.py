@@ -1,9 +1,11 @@
 """URL filtering by rules and by a list of canonical URLs behind a blocked Bloom filter.
 
 A listed entry is a host with a path prefix, like "spam.example/" or "example.org/shop/", or with a page's whole path, like
-"example.org/page.html". A URL is tried with each suffix of its host and each directory prefix of its path, and the whole path. The filter is built by aggregation (bitwise or of the entries of each 512-bit block),
-its size is bounded by a parameter, and only tries that pass it go to an exact hash join with the list, which removes the false
-positives: the verdicts don't depend on the filter's size.
+"example.org/page.html". Entries and URLs are made canonical alike: no scheme, user, "www.", port, query, fragment or final dot of the host, A-Z
+of the host lower-cased, dot segments resolved, and percent-encoded letters, digits, "-", ".", "_" and "~" decoded (other escapes in capitals).
+A URL is tried with each suffix of its host and each directory prefix of its path, and the whole path. The filter is built by
+aggregation (bitwise or of the entries of each 512-bit block), its size is bounded by a parameter, and only tries that pass it go
+to an exact hash join with the list, which removes the false positives: the verdicts don't depend on the filter's size.
 """
 
 from __future__ import annotations
@@ -12,7 +14,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from .common import free
 
 #: (verdict, host and path), as in the queries' contract.
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
@@ -40,22 +44,55 @@ def host_and_path(pages: DataFrame) -> DataFrame:
     return pages.withColumns({"host": F.coalesce(lower, F.lit("")), "path": F.coalesce(path, F.lit(""))})
 
 
+def canonical_host(host: Column) -> Column:
+    """host in lower case (A-Z) without user, "www.", port and final dot."""
+    lower = F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.regexp_replace(F.regexp_replace(lower, r"^(?:[^@]*@)?(?:www\.)?", ""), r"\.?(?::[0-9]*)?$", "")
+
+
+def canonical_path(path: Column) -> Column:
+    """path, which begins with a slash or is empty, with escapes of unreserved characters decoded and dot segments resolved."""
+
+    def decoded(part: Column) -> Column:
+        code = F.upper(F.substring(part, 1, 2))
+        char = F.char(F.conv(code, 16, 10).cast("long"))
+        rest = F.substring(part, 3, 1 << 30)
+        return F.when(code.rlike("^[0-9A-F]{2}$"), F.concat(F.when(char.rlike("^[A-Za-z0-9._~-]$"), char).otherwise(F.concat(F.lit("%"), code)), rest)).otherwise(F.concat(F.lit("%"), part))
+
+    plain = F.when(path.contains("%"), F.array_join(F.transform(F.split(path, "%"), lambda x, k: F.when(k == 0, x).otherwise(decoded(x))), "")).otherwise(path)
+
+    def step(out: Column, x: Column) -> Column:
+        shorter = F.slice(out, F.lit(1), F.greatest(F.size(out) - 1, F.lit(1)))  # the empty piece before the first slash stays
+        return F.when(x == ".", out).when(x == "..", shorter).otherwise(F.array_append(out, x))
+
+    pieces = F.split(F.concat(plain, F.when(plain.rlike(r"/\.\.?$"), "/").otherwise("")), "/")
+    resolved = F.array_join(F.aggregate(pieces, F.array().cast("array<string>"), step), "/")
+    return F.when(plain.rlike(r"/\.\.?(?:/|$)"), resolved).otherwise(plain)
+
+
+def canonical_entry(entry: Column) -> Column:
+    """A listed entry in canonical form; one without a path stands for the whole host."""
+    bare = F.regexp_replace(F.regexp_replace(entry, "^[A-Za-z][A-Za-z0-9+.-]*://", ""), r"(?s)[?#].*$", "")
+    path = F.regexp_extract(bare, "(?s)^[^/]*(/.*)$", 1)
+    return F.concat(canonical_host(F.substring_index(bare, "/", 1)), canonical_path(F.when(path == "", "/").otherwise(path)))
+
+
 def _tries(most_labels: int, most_steps: int):
-    """Host suffixes with directory prefixes of host and path, as deep as any listed entry; www and port are left out of the host."""
-    host = F.regexp_replace(F.regexp_replace("host", r"^(?:[^@]*@)?(?:www\.)?", ""), r"\.?(?::[0-9]*)?$", "")
-    labels = F.split(host, r"\.")
-    steps = F.split("path", "/")
+    """Canonical host suffixes with directory prefixes of host and path, as deep as any listed entry."""
+    labels = F.split(canonical_host(F.col("host")), r"\.")
+    path = F.col("_u_canonical")
+    steps = F.split(path, "/")
     n, m = F.size(labels), F.size(steps)
     suffixes = F.transform(F.sequence(F.lit(1), F.least(n, F.lit(most_labels))), lambda k: F.array_join(F.slice(labels, n - k + 1, k), "."))
     prefixes = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(m - 1, F.lit(most_steps)))), lambda k: F.concat(F.array_join(F.slice(steps, F.lit(1), k), "/"), F.lit("/")))
-    prefixes = F.when(F.col("path").rlike("[^/]$"), F.array_append(prefixes, F.col("path"))).otherwise(prefixes)
+    prefixes = F.when(path.rlike("[^/]$"), F.array_append(prefixes, path)).otherwise(prefixes)
     return F.when(F.col("host") != "", F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(s, p)))))
 
 
 def listed_pages(pages: DataFrame, listed: DataFrame, bits: int = BITS, most: int = BLOCKS) -> DataFrame:
     """The distinct (host, path) of pages that an entry (column entry) of listed fits."""
     spark = pages.sparkSession
-    entries = listed.select(F.col("entry").cast("string").alias("entry")).where("entry IS NOT NULL").distinct()
+    entries = listed.select(canonical_entry(F.col("entry").cast("string")).alias("entry")).where("entry IS NOT NULL AND NOT startswith(entry, '/')").distinct()
     size = entries.agg(
         F.count("*").alias("n"), F.max(F.size(F.split(F.substring_index("entry", "/", 1), r"\."))).alias("labels"), F.max(F.size(F.split("entry", "/")) - 1).alias("steps")
     ).first()
@@ -83,6 +120,7 @@ def listed_pages(pages: DataFrame, listed: DataFrame, bits: int = BITS, most: in
                 yield b.filter(pa.array(hit))
 
     urls = pages.select("host", "path").distinct()
+    urls = urls.withColumn("_u_canonical", canonical_path(F.col("path")))
     tries = urls.select("host", "path", F.explode(_tries(size["labels"] or 1, max(1, size["steps"] or 1))).alias("entry")).withColumn("h", F.xxhash64("entry"))
     tries = tries.mapInArrow(possible, tries.schema).drop("h")
     return tries.join(entries, "entry", "left_semi").select("host", "path").distinct()
@@ -96,7 +134,8 @@ def filtered(pages: DataFrame, listed: DataFrame, rules=RULES, bits: int = BITS,
     nothing. Columns of pages with the names of results are replaced.
     """
     own = [x for x in pages.columns if x not in ("host", "path", "rule", "verdict")]
-    urls = host_and_path(pages.select(*own))
+    names = free(own, "_u_")
+    urls = host_and_path(pages.select(*own).toDF(*names))
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
     for what, text in sorted(rules, key=lambda x: (len(x[1]), x[1])):  # the longest is tried first
         host, slash, rest = text.partition("/")
@@ -107,7 +146,7 @@ def filtered(pages: DataFrame, listed: DataFrame, rules=RULES, bits: int = BITS,
     hits = hits.select(F.col("host").alias("_u_host"), F.col("path").alias("_u_path"))
     out = judged.join(hits, (F.col("host") == F.col("_u_host")) & (F.col("path") == F.col("_u_path")) & F.col("rule").isNull(), "left")
     verdict = F.coalesce("_u_rule", F.when(F.col("_u_host").isNotNull(), "block").otherwise("allow"))
-    return out.select(*own, "host", "path", "rule", verdict.alias("verdict"))
+    return out.select(*names, "host", "path", "rule", verdict.alias("verdict")).toDF(*own, "host", "path", "rule", "verdict")
 
 
 def op7_url_filter(spark, sf_dir: str) -> DataFrame:
