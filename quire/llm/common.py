@@ -63,6 +63,12 @@ def free(columns: list[str], prefix: str) -> list[str]:
     return [f"~{k}~{c}" if c.startswith(prefix) else c for k, c in enumerate(columns)]
 
 
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of at most so many rows from here on in this session, for queries over whole texts: the default of 10,000 long
+    texts is held several times over by each task and its worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import crc_mod, documents, materialised
+from .common import crc_mod, documents, materialised, short_batches
 
 #: Words whose counts are sent to the workers, and how often a head word is found at least.
 DICTIONARY, LEAST = 200_000, 8
@@ -576,4 +576,5 @@ def language_model_scores(docs: DataFrame, held_out=None, **more) -> DataFrame:
 
 
 def op6_lm_scoring(spark, sf_dir: str) -> DataFrame:
+    short_batches(spark)
     return language_model_scores(documents(spark, sf_dir))

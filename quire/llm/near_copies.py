@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from xxhash import xxh64_intdigest
 
 from .common import bytes_of, free, materialised, pinned, small
 from .simhash import connected, fingerprint, links
@@ -25,7 +26,7 @@ from .simhash import connected, fingerprint, links
 WORDS, SIMILAR = 5, 0.8
 BANDS, ROWS = 16, 4
 #: Members of a bucket that are compared in one task, and entries of a worker's cache of word hashes.
-MEMBERS, CACHE = 1024, 100_000
+MEMBERS, CACHE = 1024, 200_000
 SEED = 43
 _ODD = np.random.default_rng(5).integers(1, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -34,9 +35,7 @@ class WordHashes(dict):
     """XXH64 of words, filled on demand."""
 
     def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh64_intdigest as xx
-
-        h = xx(word, SEED)
+        h = xxh64_intdigest(word, SEED)
         if len(self) < CACHE:
             self[word] = h
         return h
@@ -77,8 +76,6 @@ def bands(own: np.ndarray) -> np.ndarray:
 
 def marked(docs: DataFrame) -> DataFrame:
     """docs with _n_row, _n_fp (SimHash), _n_key (hash of the shingle set) and _n_bands, written as a table."""
-    from xxhash import xxh64_intdigest as xx
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, place = b.num_rows, b.num_columns - 1
@@ -86,7 +83,7 @@ def marked(docs: DataFrame) -> DataFrame:
             for k in range(n):  # a text and its shingles at a time
                 text = (b.column(place)[k].as_py() or "").encode()
                 own = shingles(text)
-                fp[k], key[k] = fingerprint(text), xx(own.tobytes(), SEED)
+                fp[k], key[k] = fingerprint(text), xxh64_intdigest(own.tobytes(), SEED)
                 found.append(bands(own))
             more = [pa.array(fp.view(np.int64)), pa.array(key.view(np.int64)), pa.array(found, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], *more], [*b.schema.names[:-1], "_n_fp", "_n_key", "_n_bands"])
