@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm.common import documents, materialised
+from quire.llm.common import documents, materialised, short_batches
 from quire.llm.decontamination import decontaminated
 from quire.llm.line_dedup import LONG_SITES, deduped
 from quire.llm.near_copies import one_of_each_near
@@ -28,16 +28,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the lowest id of each group of near-duplicates."""
+    short_batches(spark)
     return one_of_each_near(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents that hold an item of the benchmark."""
+    short_batches(spark)
     return decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' token pieces with their place in sequences of 2048."""
+    short_batches(spark)
     return pack_documents(docs, with_ids=False)
 
 
