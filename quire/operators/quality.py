@@ -105,16 +105,19 @@ def keep() -> Column:
     return F.struct(F.lit("keep").alias("action"), F.lit(None).cast("string").alias("reason"), F.lit(None).cast("int").alias("layer"))
 
 
-def page_texts(elements: DataFrame) -> DataFrame:
-    """(doc_id, page_index, page_text, extracted_tokens) from elements (doc_id, page_index, seq, text): what the gate looks at.
+def page_text_aggregates() -> list[Column]:
+    """page_text and extracted_tokens of a page's elements (seq, text): what the gate looks at.
 
     Only texts of elements count; the cells of tables, which carry no text, do not.
     """
     told = F.coalesce(F.col("text"), F.lit(""))
     kept = F.collect_list(F.when(told != "", F.struct("seq", F.col("text"))))
-    return elements.groupBy("doc_id", "page_index").agg(
-        F.array_join(F.transform(F.array_sort(kept), lambda x: x["text"]), " ").alias("page_text"), F.sum(F.size(tokens(told))).alias("extracted_tokens")
-    )
+    return [F.array_join(F.transform(F.array_sort(kept), lambda x: x["text"]), " ").alias("page_text"), F.sum(F.size(tokens(told))).alias("extracted_tokens")]
+
+
+def page_texts(elements: DataFrame) -> DataFrame:
+    """(doc_id, page_index, page_text, extracted_tokens) from elements (doc_id, page_index, seq, text)."""
+    return elements.groupBy("doc_id", "page_index").agg(*page_text_aggregates())
 
 
 def gated(pages: DataFrame, grades: DataFrame | None = None, layers: DataFrame | None = None, one_based_grades: bool = False) -> DataFrame:

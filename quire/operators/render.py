@@ -62,18 +62,18 @@ def ordered_join(value: str, order: str, separator: str) -> Column:
     return F.array_join(F.transform(F.array_sort(kept), lambda x: x["v"]), separator)
 
 
-def page_markdown(elements: DataFrame) -> DataFrame:
-    """(doc_id, page_index, markdown) from elements (doc_id, page_index, seq, type, text, level, content{...})."""
+def page_markdown(elements: DataFrame, *more: Column) -> DataFrame:
+    """(doc_id, page_index, markdown) and other aggregates of the pages' elements (doc_id, page_index, seq, type, text, level, content{...})."""
     content = F.col("content")
     table = F.when(F.col("type") == "table", table_markdown(content["cells"], content["rows"], content["cols"]))
     rows = elements.withColumn("_md", block(F.col("type"), F.col("text"), F.col("level").cast("string"), content["alt_text"], table))
-    return rows.groupBy("doc_id", "page_index").agg(strip(ordered_join("_md", "seq", "\n\n")).alias("markdown"))
+    return rows.groupBy("doc_id", "page_index").agg(strip(ordered_join("_md", "seq", "\n\n")).alias("markdown"), *more)
 
 
-def document_markdown(pages: DataFrame) -> DataFrame:
-    """(doc_id, markdown) from pages (doc_id, page_index, markdown): those that aren't blank, in order."""
+def document_markdown(pages: DataFrame, *more: Column) -> DataFrame:
+    """(doc_id, markdown) and other aggregates of pages (doc_id, page_index, markdown): those that aren't blank, in order."""
     told = pages.withColumn("_md", F.when(strip(F.col("markdown")) != "", F.col("markdown")))
-    return told.groupBy("doc_id").agg(ordered_join("_md", "page_index", "\n\n").alias("markdown"))
+    return told.groupBy("doc_id").agg(ordered_join("_md", "page_index", "\n\n").alias("markdown"), *more)
 
 
 def expanded(elements: DataFrame) -> DataFrame:

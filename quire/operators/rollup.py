@@ -17,11 +17,16 @@ def page_confidence(route: Column, engine_passes: Column, vlm_passes: Column) ->
     )
 
 
-def document_confidence(pages: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """(doc_id, confidence): mean page confidence weighed by n_chars; 0 without any characters."""
+def mean_confidence() -> Column:
+    """Aggregate: the mean confidence of pages weighed by n_chars; 0 without any characters."""
     weight = F.sum("n_chars")
     mean = F.try_divide(F.sum(F.col("confidence") * F.col("n_chars")), F.nullif(weight.cast("double"), F.lit(0.0)))
-    return pages.groupBy(*(keys or ["doc_id"])).agg(F.coalesce(mean, F.lit(0.0)).alias("confidence"))
+    return F.coalesce(mean, F.lit(0.0)).alias("confidence")
+
+
+def document_confidence(pages: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """(doc_id, confidence): see mean_confidence()."""
+    return pages.groupBy(*(keys or ["doc_id"])).agg(mean_confidence())
 
 
 def warning_rows(df: DataFrame, code: Column, message: Column, scope: str, page: Column | None = None, element: Column | None = None) -> DataFrame:

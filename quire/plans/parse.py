@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from quire.constants import Config
 from quire.functions.errors import parsed_reply
-from quire.operators.quality import gated, page_texts, with_signals
+from quire.operators.quality import gated, page_text_aggregates, with_signals
 from quire.operators.render import document_markdown, page_markdown
-from quire.operators.rollup import document_confidence, low_confidence, page_confidence, route_records, warning_rows
+from quire.operators.rollup import low_confidence, mean_confidence, page_confidence, route_records, warning_rows
 from quire.operators.routing import intents, routed
+from quire.sources.shared import materialised
 
 RESULTS = "doc_id string, page_index int, error string, error_kind string, valid_shape boolean, n_engine_elements int, engine_markdown string, engine_passes boolean"
 
@@ -28,10 +29,9 @@ class Parsed:
 
 
 def measured_pages(elements: DataFrame, kind: str = "pdf", grades: DataFrame | None = None, layers: DataFrame | None = None, config: Config = Config()) -> DataFrame:
-    """A row for each page: markdown, gate decision, and whether its own text passes. Pages of elements share one shuffle."""
-    md = page_markdown(elements)
-    texts = page_texts(elements).join(elements.groupBy("doc_id", "page_index").agg(F.count("*").alias("n_elements")), ["doc_id", "page_index"])
-    pages = gated(texts, grades, layers, config.one_based_grades).drop("counts", "signals", "passes").join(md, ["doc_id", "page_index"])
+    """A row for each page: markdown, gate decision, and whether its own text passes. One aggregation makes the pages."""
+    texts = page_markdown(elements, *page_text_aggregates(), F.count("*").alias("n_elements"))
+    pages = gated(texts, grades, layers, config.one_based_grades).drop("counts", "signals", "passes")
     own = with_signals(pages, "markdown").drop("counts", "signals")
     kinds = own if "kind" in elements.columns else own.withColumn("kind", F.lit(kind))
     return kinds if config.max_pages is None else kinds.where(F.col("page_index") < config.max_pages)
@@ -57,14 +57,14 @@ def read_replies(replies: DataFrame) -> DataFrame:
 def parse_documents(pages: DataFrame, engine: Callable[[DataFrame], DataFrame] | None = None, config: Config = Config()) -> Parsed:
     """Routes measured pages and rolls them up. engine: promoted pages to RESULTS rows; without one every promotion falls back.
 
-    Only promoted pages reach the engine, whose results are best a written table.
+    Only promoted pages reach the engine. Its results, and the measured pages, are written to the shared folder at once, so what
+    reads the results of a run neither calls the engine again nor measures the pages again.
     """
-    planned = intents(pages, config)
-    promoted = planned.where("promote")
-    results = pages.sparkSession.createDataFrame([], RESULTS) if engine is None else engine(promoted)
+    planned = materialised(intents(pages, config), "planned-pages")
+    results = pages.sparkSession.createDataFrame([], RESULTS) if engine is None else materialised(engine(planned.where("promote")), "engine-results")
     out = routed(planned, results, config)
     out = out.withColumn("confidence", page_confidence(F.col("route"), F.col("engine_quality_passes"), F.col("vlm_quality_passes")))
-    texts = document_markdown(out.select("doc_id", "page_index", F.col("markdown_out").alias("markdown")))
-    documents = texts.join(document_confidence(out), "doc_id")
+    texts = out.select("doc_id", "page_index", F.col("markdown_out").alias("markdown"), "confidence", "n_chars")
+    documents = document_markdown(texts, mean_confidence())
     told = warning_rows(out.where("warning IS NOT NULL"), F.col("warning"), F.coalesce("reason", F.lit("")), "page", F.col("page_index"))
     return Parsed(out, documents, route_records(out), told.unionByName(low_confidence(out)))

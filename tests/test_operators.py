@@ -1,6 +1,7 @@
 """Gate, rendering, layout, routing, roll-ups and reports on small frames with expectations worked out by hand."""
 
 import random
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -241,6 +242,27 @@ def test_engine_replies_end_to_end(spark):
     assert {r["code"] for r in out.warnings.collect()} == {"vlm_promoted", "vlm_fallback_docling", "low_confidence_page"}
 
 
+def test_an_engine_is_asked_once_a_page(spark, tmp_path):
+    rows = [("d", 0, "pdf", "", 0, "promote_to_vlm"), ("d", 1, "pdf", "own text", 1, "promote_to_vlm"), ("e", 0, "pdf", "kept", 1, "keep"), (None, 0, "pdf", "no id", 1, "keep")]
+    pages = spark.createDataFrame(rows, "doc_id string, page_index int, kind string, markdown string, n_elements int, action string")
+    pages = pages.selectExpr("*", "struct(action, 'why' AS reason, 1 AS layer) AS decision", "true AS passes", "NULL AS untyped")
+
+    def engine(promoted):
+        def run(batches):
+            for b in batches:
+                for k in range(len(b)):
+                    (tmp_path / f"{b['doc_id'][k]}-{b['page_index'][k]}-{uuid.uuid4().hex}").touch()
+                n = len(b)
+                yield b[["doc_id", "page_index"]].assign(error=None, error_kind=None, valid_shape=[True] * n, n_engine_elements=1, engine_markdown="told", engine_passes=[True] * n)
+
+        return promoted.select("doc_id", "page_index").mapInPandas(run, RESULTS)
+
+    out = parse_documents(pages, engine)
+    assert out.pages.count() == 4 and out.warnings.count() == 2 and out.routes.count() == 3
+    assert {r["doc_id"]: (r["markdown"], r["confidence"]) for r in out.documents.collect()} == {"d": ("told\n\ntold", 0.85), "e": ("kept", 0.95), None: ("no id", 0.95)}
+    assert len(list(tmp_path.iterdir())) == 2
+
+
 def test_files_round_trip(spark, tmp_path):
     for name, data in (("a.HTML", b"<p>hi"), ("b.txt", b"x"), ("c.pdf", b"1" * 3000)):
         (tmp_path / name).write_bytes(data)
