@@ -76,23 +76,29 @@ def two_places(n: Column, d: Column) -> Column:
     Only where n / d lies halfway in decimal does the double's own error decide; it is found without rounding in two halves of the double.
     """
     n, d = n.cast("long"), d.cast("long")
-    down = F.floor(100 * n / d)
-    down = F.when(down * d > 100 * n, down - 1).when((down + 1) * d <= 100 * n, down + 1).otherwise(down).cast("long")
-    rest = 2 * (100 * n - down * d)
-    value = n / d
-    high = value.cast("float").cast("double")
-    error = (high * 200 - (2 * down + 1)) + (value - high) * 200
-    up = F.when(rest != d, rest > d).when(error != 0, error > 0).otherwise(down % 2 == 1)
-    hundredths = down + up.cast("long")
-    return F.concat(F.floor(hundredths / 100).cast("string"), F.lit("."), F.lpad((hundredths % 100).cast("string"), 2, "0"))
+    # each step is an argument of the next one's lambda: written out, the steps would grow past what a method may hold
+    bound = lambda value, then: F.get(F.transform(F.array(value), then), F.lit(0))
+    near = F.floor(100 * n / d)
+
+    def rounded(down: Column) -> Column:
+        rest, value = 2 * (100 * n - down * d), n / d
+        high = value.cast("float").cast("double")
+        error = (high * 200 - (2 * down + 1)) + (value - high) * 200
+        return down + F.when(rest != d, rest > d).when(error != 0, error > 0).otherwise(down % 2 == 1).cast("long")
+
+    down = bound(near, lambda x: F.when(x * d > 100 * n, x - 1).when((x + 1) * d <= 100 * n, x + 1).otherwise(x).cast("long"))
+    return bound(bound(down, rounded), lambda hundredths: F.concat(F.floor(hundredths / 100).cast("string"), F.lit("."), F.lpad((hundredths % 100).cast("string"), 2, "0")))
 
 
 def signal_text(signals: Column, counts: Column) -> Column:
     """Failing signals with their values, comma-joined; a run of characters has none."""
     n, chars = counts["n_tokens"], counts["n_chars"]
     parts = {SIGNALS[0]: (counts["n_garbled"], n), SIGNALS[1]: (counts["n_token_chars"], n), SIGNALS[2]: (counts["n_content"], n), SIGNALS[4]: (counts["n_printable"], chars)}
-    told = [F.when(F.array_contains(signals["failing_signals"], s), F.concat(F.lit(f"{s}="), two_places(*parts[s])) if s in parts else F.lit(RUN_REASON)) for s in SIGNALS]
-    return F.when(n > 0, F.concat_ws(", ", *told)).otherwise(F.array_join(signals["failing_signals"], ", "))
+    part = lambda s: parts.get(s, (F.lit(None).cast("int"), F.lit(None).cast("int")))
+    rows = F.array(*(F.struct(F.lit(s).alias("name"), part(s)[0].cast("long").alias("n"), part(s)[1].cast("long").alias("d")) for s in SIGNALS))
+    failing = F.filter(rows, lambda x: F.array_contains(signals["failing_signals"], x["name"]))
+    told = F.transform(failing, lambda x: F.when(x["d"].isNull(), F.lit(RUN_REASON)).otherwise(F.concat(x["name"], F.lit("="), two_places(x["n"], x["d"]))))
+    return F.when(n > 0, F.array_join(told, ", ")).otherwise(F.array_join(signals["failing_signals"], ", "))
 
 
 def heuristic_decision(text: Column, signals: Column, counts: Column) -> Column:
