@@ -199,7 +199,7 @@ class Tagger:
 
 
 def stretches(text: str) -> list[tuple[int, int]]:
-    """Merged stretches [a, b) of text around all triggers, each at least a window long where the text is."""
+    """Merged stretches [a, b) of text around all triggers, MARGIN characters to either side, so one of a lone trigger is shorter than a window."""
     out: list[list[int]] = []
     for m in TRIGGER.finditer(text):
         a, b = max(0, m.start() - MARGIN), min(len(text), m.start() + MARGIN + 1)

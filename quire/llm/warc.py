@@ -233,7 +233,9 @@ def read_chunks(manifest: DataFrame, folder: str, chunk: int = CHUNK, with_data:
 
 
 def archived(pages: DataFrame, folder: str | None = None, chunk: int = CHUNK) -> DataFrame:
-    """Writes pages to archives and reads them back: a row (page_id, kind, refers_to, payload_bytes, sha1, digest_ok) for each page.
+    """Writes pages to archives and reads them back: a row (page_id, kind, refers_to, payload_bytes, sha1, digest) for each page.
+
+    sha1 is of the bytes read, digest the one in the header, which it isn't compared with.
 
     Empty tables give no archive and no row; repeated rows give a record each; other columns are not looked at.
     """
