@@ -1,9 +1,11 @@
 """Personal data: exact patterns, and a character tagger (bidirectional LSTM with CRF transitions) that adds to them.
 
-The tagger is trained in numpy on windows around spans that the patterns verified in a bounded sample of texts. It reads
-overlapping windows around every digit and at-sign of a text, which all four kinds need; the windows' emissions are averaged by
-their distance from the window's edge, and one Viterbi pass over each stretch of windows reconciles them globally. Spans of the
-patterns always stay; the tagger adds spans that touch none of them and of which it is sure.
+The tagger is trained in numpy on labelled spans: those that the patterns verified in a bounded sample of texts, and made-up ones,
+plain and disguised, set into such texts (pii_training.py). It reads overlapping windows around every digit of any script, every
+at-sign and every spelled-out one, without which none of the four kinds is written; text further than MARGIN from all of these
+isn't read. The windows' emissions are averaged by their distance from the window's edge, and one Viterbi pass over each stretch
+of windows reconciles them globally. Spans of the patterns always stay; the tagger adds spans that touch none of them, of which it
+is sure and whose digits can be what they are taken for.
 """
 
 from __future__ import annotations
@@ -17,18 +19,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import documents
+from .pii_training import made
 
 KINDS = ("email", "ip", "card", "phone")
 TAGS = 1 + 2 * len(KINDS)  # outside; begin and inside of each kind
-HIDDEN, WINDOW, STRIDE, MARGIN = 16, 96, 48, 24
-#: Texts that the tagger is trained on at most, windows of them, gradient steps, and how sure it must be of a span.
-SAMPLE, WINDOWS, STEPS, SURE = 4_000, 2_400, 700, 0.95
+HIDDEN, WINDOW, STRIDE, MARGIN = 16, 96, 48, 48
+#: Stretches of text that the tagger is trained on at most, windows of them, gradient steps of BATCH windows, how sure it must be of a span.
+SAMPLE, WINDOWS, STEPS, BATCH, SURE = 12_000, 6_000, 700, 96, 0.8
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-TRIGGER = re.compile(r"[0-9@]")
+TRIGGER = re.compile(r"[\d@＠]")
+AT = re.compile(r"[(\[{<]\s?+[Aa][Tt]\s?+[)\]}>]")
+BARE_AT = re.compile(r"\b[Aa][Tt]\b(?=\s++[A-Za-z0-9-]++\s++[Dd][Oo][Tt]\b)")
+DOT_WORD = re.compile(r"\b[Dd][Oo][Tt]\b")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 
@@ -67,12 +73,13 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
 
 
 _SYMBOLS = {c: k for k, c in enumerate("abcdefghijklmnopqrstuvwxyz")} | {c: 26 for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"} | {c: 27 for c in "0123456789"} | {c: 28 + k for k, c in enumerate("@.-+_()% \n\"=/:,")}
+_SYMBOLS |= {c: _SYMBOLS[like] for like, alike in {"(": "[{<", ")": "]}>", "@": "＠", " ": "\u00a0\t"}.items() for c in alike}
 OTHER = max(_SYMBOLS.values()) + 1  # other characters; one more: beyond the text
 SYMBOLS = OTHER + 2
 
 
 def symbols(text: str) -> np.ndarray:
-    return np.fromiter((_SYMBOLS.get(c, OTHER) for c in text), np.int64, len(text))
+    return np.fromiter((_SYMBOLS[c] if c in _SYMBOLS else _SYMBOLS["0"] if c.isdecimal() else OTHER for c in text), np.int64, len(text))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -121,18 +128,17 @@ class Tagger:
     def _lstm_back(self, d: str, x: np.ndarray, tape: list, dout: np.ndarray, grads: dict) -> None:
         n = HIDDEN
         dh, dc = np.zeros((x.shape[1], n)), np.zeros((x.shape[1], n))
-        gx, gh, gc = np.zeros_like(self.p[f"x{d}"]), np.zeros_like(self.p[f"h{d}"]), np.zeros_like(self.p[f"c{d}"])
+        at_z = np.empty((*x.shape, 4 * n))
         for t in range(len(x) - 1, -1, -1):
             g, u, c, a, h = tape[t]
             dh = dh + dout[t]
             dc = dc + dh * g[:, 2 * n :] * (1 - a * a)
             dz = np.concatenate([dc * u, dc * c, dh * a], 1) * g * (1 - g)
             dz = np.concatenate([dz, dc * g[:, :n] * (1 - u * u)], 1)
-            np.add.at(gx, x[t], dz)
-            gh += h.T @ dz
-            gc += dz.sum(0)
+            at_z[t] = dz
             dh, dc = dz @ self.p[f"h{d}"].T, dc * g[:, n : 2 * n]
-        grads[f"x{d}"], grads[f"h{d}"], grads[f"c{d}"] = gx, gh, gc
+        flat, before = at_z.reshape(-1, 4 * n), np.concatenate([step[4] for step in tape])
+        grads[f"x{d}"], grads[f"h{d}"], grads[f"c{d}"] = (x.reshape(-1) == np.arange(SYMBOLS)[:, None]).astype(float) @ flat, before.T @ flat, flat.sum(0)
 
     def emissions(self, x: np.ndarray) -> np.ndarray:
         """(time, batch, tags) for symbols (time, batch)."""
@@ -199,10 +205,13 @@ class Tagger:
 
 
 def stretches(text: str) -> list[tuple[int, int]]:
-    """Merged stretches [a, b) of text around all triggers, MARGIN characters to either side, so one of a lone trigger is shorter than a window."""
+    """Merged stretches [a, b) of text around all digits, at-signs and spelled-out ones, MARGIN characters to either side: a window long, or up to an end of the text."""
+    at = [m.start() for m in TRIGGER.finditer(text)] + [m.start() for m in AT.finditer(text)]
+    if DOT_WORD.search(text):
+        at += [m.start() for m in BARE_AT.finditer(text)]
     out: list[list[int]] = []
-    for m in TRIGGER.finditer(text):
-        a, b = max(0, m.start() - MARGIN), min(len(text), m.start() + MARGIN + 1)
+    for k in sorted(at):
+        a, b = max(0, k - MARGIN), min(len(text), k + MARGIN + 1)
         if out and a <= out[-1][1]:
             out[-1][1] = b
         else:
@@ -269,8 +278,15 @@ def found(texts: list[str], tagger: Tagger, sure: float = SURE, batch: int = 102
 
 
 def plausible(kind: str, text: str) -> bool:
-    digits = sum("0" <= c <= "9" for c in text)
-    return {"email": "@" in text and "." in text.partition("@")[2], "ip": text.count(".") == 3 and digits >= 4, "card": 13 <= digits <= 19, "phone": 7 <= digits <= 15}[kind]
+    """Whether the marks and digits of text can be those of its kind; cards pass Luhn, as those of the patterns do."""
+    digits = "".join(str(int(c)) for c in text if c.isdecimal())
+    if kind == "email":
+        at = [m.start() for m in re.finditer(r"[@＠]|(?i:\bat\b)", text)]
+        return bool(at) and at[0] > 0 and bool(re.search(r"\.|(?i:\bdot\b)", text[at[0] :]))
+    if kind == "ip":
+        parts = re.findall(r"\d++", text)
+        return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)
+    return 13 <= len(digits) <= 19 and luhn(digits) if kind == "card" else 7 <= len(digits) <= 15
 
 
 def all_spans(text: str, base: list[tuple[str, int, int]], more: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
@@ -280,19 +296,22 @@ def all_spans(text: str, base: list[tuple[str, int, int]], more: list[tuple[str,
 
 
 def training_windows(texts: list[str], most: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols and tags (time, windows): around verified spans, and as many around other triggers and anywhere."""
+    """Symbols and tags (time, windows), at most most: half around made values; else around verified spans, other triggers and anywhere."""
     r = np.random.default_rng(seed)
     spans = [base_spans(t) for t in texts]
     at = [(d, a) for d, s in enumerate(spans) for _, a, _ in s]
     other = [(d, a) for d, t in enumerate(texts) for a, b in stretches(t) if all(b <= x or a >= y for _, x, y in spans[d])]
-    at = [at[k] for k in r.permutation(len(at))[: most // 2]]
-    other = [other[k] for k in r.permutation(len(other))[: most // 3]]
-    free = [(d, int(r.integers(len(texts[d])))) for d in r.permutation(len(texts))[: most // 6] if texts[d]]
+    at = [at[k] for k in r.permutation(len(at))[: most // 4]]
+    other = [other[k] for k in r.permutation(len(other))[: most // 8]]
+    free = [(d, int(r.integers(len(texts[d])))) for d in r.permutation(len(texts))[: most // 8] if texts[d]]
+    rows = [(texts[d], spans[d], a) for d, a in at + other + free]
+    bare = [t for t, s in zip(texts, spans) if not s]
+    rows += [(t, s, s[0][1] if s else int(r.integers(len(t)))) for t, s in made(bare, most // 2, seed)]
     x, y = [], []
-    for d, a in at + other + free:
+    for text, own, a in rows:
         start = max(0, a - int(r.integers(WINDOW)))
-        s, tags = symbols(texts[d][start : start + WINDOW]), np.zeros(WINDOW, np.int64)
-        for kind, p, q in spans[d]:
+        s, tags = symbols(text[start : start + WINDOW]), np.zeros(WINDOW, np.int64)
+        for kind, p, q in own:
             p, q = p - start, min(q - start, WINDOW)
             if q > 0 and p < WINDOW:
                 tag = 1 + 2 * KINDS.index(kind)
@@ -303,25 +322,28 @@ def training_windows(texts: list[str], most: int, seed: int = 11) -> tuple[np.nd
     return np.array(x, np.int64).reshape(-1, WINDOW).T, np.array(y, np.int64).reshape(-1, WINDOW).T
 
 
-def fitted(docs: DataFrame, most: int = SAMPLE, steps: int = STEPS) -> Tagger | None:
-    """A tagger trained on at most most texts that hold a digit or an at-sign, chosen by hash; None if they hold no span."""
+def contexts(docs: DataFrame, most: int = SAMPLE) -> list[str]:
+    """At most most different stretches of up to 241 characters around digits and at-signs, chosen by hash from all texts."""
     texts = docs.select(F.col("text").cast("string").alias("text")).where(F.col("text").rlike("[0-9@]"))
     n = texts.count()
-    if n > most:
-        texts = texts.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.lit(int(1_000_000 * most / n)))
-    # only the surroundings of triggers go to the driver, not whole texts
+    if n > most:  # the least hashes of a part of the texts that holds most of them or so
+        texts = texts.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.lit(max(1, int(1_000_000 * most / n))))
     near = r"(?s).{0,120}[0-9@].{0,120}"
-    rows = texts.select(F.explode(F.slice(F.regexp_extract_all("text", F.lit(near), F.lit(0)), 1, 8)).alias("t")).distinct().orderBy(F.xxhash64("t"), "t").limit(3 * most)
-    parts = [r[0] for r in rows.collect()]
-    x, y = training_windows(parts, WINDOWS)
-    if not x.size or not y.any():
+    parts = texts.select(F.explode(F.regexp_extract_all("text", F.lit(near), F.lit(0))).alias("t")).distinct()
+    return [r[0] for r in parts.orderBy(F.xxhash64("t"), "t").limit(most).collect()]
+
+
+def fitted(docs: DataFrame, most: int = SAMPLE, steps: int = STEPS) -> Tagger | None:
+    """A tagger trained on windows of at most most stretches of the corpus; None if no text holds a digit or an at-sign."""
+    x, y = training_windows(contexts(docs, most), WINDOWS)
+    if not x.size:
         return None
     tagger, moments, k, r = Tagger(), {}, 0, np.random.default_rng(3)
     while k < steps:
         order = r.permutation(x.shape[1])
-        for a in range(0, len(order), 32):
+        for a in range(0, len(order), BATCH):
             k += 1
-            tagger.step(x[:, order[a : a + 32]], y[:, order[a : a + 32]], moments, k, 0.02 if k < steps // 2 else 0.006)
+            tagger.step(x[:, order[a : a + BATCH]], y[:, order[a : a + BATCH]], moments, k, 0.02 if k < steps // 2 else 0.006)
     return tagger
 
 
