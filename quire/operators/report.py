@@ -62,6 +62,16 @@ def first_route(routes: DataFrame, labels: list[str]) -> DataFrame:
     return routes.where(F.col("label").isin(*labels) & F.col("route").isNotNull()).groupBy("doc_id").agg(F.min_by("route", rank).alias("route"))
 
 
+def label_comparison(metrics: DataFrame, routes: DataFrame, labels: list[str], value: str = "ned") -> DataFrame:
+    """(doc_id, route, {value}_{label}...): a row for each graded document; the route is of the first label that has one.
+
+    Inputs have (label, doc_id, ...). A label without a metric of the document, and a document without any route, gives null.
+    """
+    wide = metrics.groupBy("doc_id").pivot("label", labels).agg(F.first(value))
+    out = wide.select("doc_id", *(F.col(x).alias(f"{value}_{x}") for x in labels)).join(first_route(routes, labels), "doc_id", "left")
+    return out.select("doc_id", "route", *(f"{value}_{x}" for x in labels))
+
+
 def ned_similarity(a: Column, b: Column) -> Column:
     """1 - edit distance / longer length, of texts with collapsed white space; 1 for two empty texts."""
     x, y = collapsed(F.coalesce(a, F.lit(""))), collapsed(F.coalesce(b, F.lit("")))

@@ -126,6 +126,17 @@ def call_counts(results: DataFrame) -> DataFrame:
     return results.groupBy("doc_id").agg(F.count_if(ok & (F.col("engine") == "vlm")).alias("vlm_calls"), F.count_if(ok & (F.col("engine") == "textract")).alias("textract_calls"))
 
 
+def failure_entries(warnings: DataFrame) -> DataFrame:
+    """(scope, doc_id, page_index, warnings): a row for each document with warnings of its own, and for each warning of a page.
+
+    Rows are the entries of the two lists of a failure report. A document's warnings are few: its pages' ones are rows by themselves.
+    """
+    told = F.struct("scope", "code", "message", "page_index", "element_id")
+    whole = warnings.where(F.col("scope") == "document").groupBy("doc_id").agg(F.to_json(F.array_sort(F.collect_list(told))).alias("warnings"))
+    pages = warnings.where(F.col("scope") == "page").select("doc_id", "page_index", F.to_json(F.array(told)).alias("warnings"))
+    return whole.select(F.lit("document").alias("scope"), "doc_id", F.lit(None).cast("int").alias("page_index"), "warnings").unionByName(pages.select(F.lit("page").alias("scope"), "doc_id", "page_index", "warnings"))
+
+
 def failures(warnings: DataFrame) -> DataFrame:
     """One row (document_failures, page_failures): JSON arrays of the warnings by scope, each in order.
 
@@ -134,3 +145,34 @@ def failures(warnings: DataFrame) -> DataFrame:
     row = F.struct("doc_id", "page_index", "code", "message")
     kept = lambda scope: F.to_json(F.array_sort(F.collect_list(F.when(F.col("scope") == scope, row))))
     return warnings.agg(kept("document").alias("document_failures"), kept("page").alias("page_failures"))
+
+
+def file_results(records: DataFrame, calls: DataFrame, documents: DataFrame, warnings: DataFrame) -> DataFrame:
+    """A row for each route record, error records among them: success, pages, calls, cost, characters of markdown, warnings.
+
+    A failed document has made no calls that count. What is missing for a document (calls, markdown, warnings) is 0.
+    """
+    facts = calls.select("doc_id", "vlm_calls", "textract_calls", F.lit(0).alias("chars"), F.lit(0).alias("told"))
+    facts = facts.unionByName(documents.select("doc_id", F.lit(0).alias("vlm_calls"), F.lit(0).alias("textract_calls"), F.length("markdown").alias("chars"), F.lit(0).alias("told")))
+    facts = facts.unionByName(warnings.select("doc_id", *(F.lit(0).alias(c) for c in ("vlm_calls", "textract_calls", "chars")), F.lit(1).alias("told")))
+    per = facts.groupBy("doc_id").agg(*(F.sum(c).alias(c) for c in ("vlm_calls", "textract_calls", "chars", "told")))
+    ok = F.col("route") != "error"
+    out = records.select("doc_id", "route", "pages", "vlm_pages").join(per, "doc_id", "left").withColumns({c: F.when(ok, F.coalesce(c, F.lit(0))).otherwise(0).cast("long") for c in ("vlm_calls", "textract_calls", "chars")})
+    return out.select("doc_id", ok.alias("success"), "route", "pages", "vlm_pages", "vlm_calls", "textract_calls", F.round(file_cost(F.col("vlm_calls"), F.col("textract_calls")), 6).alias("cost"), F.col("chars").alias("markdown_chars"), F.coalesce("told", F.lit(0)).cast("long").alias("warning_count"))
+
+
+def batch_summary(results: DataFrame, engine: str = "vlm") -> DataFrame:
+    """One row over file_results(): files, calls, estimated costs, pages, documents by route, cost if every page went to the engine.
+
+    Results that went through routing.budgeted() (file_index, is_trip) tell whether and at which file the budget was reached.
+    """
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    vlm, ocr = total("vlm_calls") * F.lit(VLM_CALL), total("textract_calls") * F.lit(OCR_PAGE)
+    tripped = F.col("is_trip") if "is_trip" in results.columns else F.lit(False)
+    index = F.col("file_index").cast("long") if "is_trip" in results.columns else F.lit(None).cast("long")
+    return results.agg(
+        F.count("*").alias("total_files"), F.count_if("success").alias("succeeded"), F.count_if(~F.col("success")).alias("failed"), total("vlm_calls").alias("total_vlm_calls"), total("textract_calls").alias("total_textract_calls"),
+        F.round(vlm, 6).alias("vlm_cost"), F.round(ocr, 6).alias("textract_cost"), F.round(vlm + ocr, 6).alias("estimated_cost"), F.lit(True).alias("cost_is_estimate"),
+        total("pages").alias("total_pages"), total("vlm_pages").alias("vlm_routed_pages"), F.count_if(F.col("route") == "vlm").alias("docs_using_vlm"), F.count_if(F.col("route") == KEPT).alias("docs_docling_kept"),
+        F.round(total("pages") * F.lit(PRICES[engine]), 6).alias("worst_cost"), F.coalesce(F.bool_or(tripped), F.lit(False)).alias("budget_exceeded"), F.min(F.when(tripped, index)).alias("budget_tripped_at"),
+    )

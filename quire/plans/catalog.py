@@ -6,10 +6,10 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quire.constants import Config
+from quire.constants import PRICES, VLM_CALL, Config
 from quire.functions import errors, media, text as tx
 from quire.operators import layout, quality, render, report, rollup, routing
-from quire.plans.parse import RESULTS, measured_pages, parse_documents
+from quire.plans.parse import RESULTS, measured_pages, page_cap_warnings, parse_documents
 from quire.sources.extractors import from_html, from_lines
 
 QUERIES: dict = {}
@@ -241,6 +241,62 @@ def failure_report(spark, sf_dir):
     return parsed(spark, sf_dir).pages.agg(F.count_if(F.col("problem").isNotNull()).alias("failed_pages"), F.count_if("promote").alias("promoted_pages"))
 
 
+_TOLD = """warned AS (SELECT doc_id, page_index, CASE WHEN m <= 4 THEN CASE WHEN m = 2 THEN 'vlm_invalid_shape' ELSE 'vlm_fallback_docling' END
+    WHEN route LIKE '%-rejected-kept-docling' THEN 'vlm_rejected_kept_docling' ELSE 'vlm_promoted' END AS code FROM record WHERE promote
+    UNION ALL SELECT doc_id, page_index, 'low_confidence_page' FROM scored WHERE confidence < 0.65)"""
+
+
+@query("failure_entries", f"""WITH {routed_sql(True, 'vlm')}, {_TOLD} SELECT 'page' AS scope, doc_id, page_index, code FROM warned""")
+def failure_entries(spark, sf_dir):
+    rows = rollup.failure_entries(parsed(spark, sf_dir, arbitration=True).warnings)
+    return long_id(rows).select("scope", "doc_id", "page_index", F.get_json_object("warnings", "$[0].code").alias("code"))
+
+
+def _files(spark, sf_dir):
+    """File results of documents; those without a page failed."""
+    run = parsed(spark, sf_dir, arbitration=True)
+    missing = table(spark, sf_dir, "documents").select("doc_id").join(run.routes.select("doc_id"), "doc_id", "left_anti").withColumn("reason", F.lit("no text"))
+    records = run.routes.unionByName(rollup.error_records(missing), allowMissingColumns=True)
+    calls = rollup.call_counts(stub(run.pages.where("promote")).withColumn("engine", F.lit("vlm")))
+    return rollup.file_results(records, calls, run.documents, run.warnings)
+
+
+_FILES = f"""{_TOLD}, r AS ({ROUTE_RECORD}), c AS (SELECT doc_id, count(*) FILTER (WHERE promote AND m > 1) AS vlm_calls,
+    length(coalesce(string_agg(markdown_out, chr(10) || chr(10) ORDER BY page_index) FILTER (WHERE {STRIP('markdown_out')} <> ''), '')) AS markdown_chars FROM record GROUP BY doc_id),
+    w AS (SELECT doc_id, count(*) AS warning_count FROM warned GROUP BY doc_id),
+    files AS (SELECT d.doc_id, r.doc_id IS NOT NULL AS success, coalesce(pages, 0) AS pages, coalesce(vlm_pages, 0) AS vlm_pages, coalesce(vlm_calls, 0) AS vlm_calls, 0::BIGINT AS textract_calls,
+        round(coalesce(vlm_calls, 0) * {{price}}::DOUBLE, 6) AS cost, coalesce(markdown_chars, 0) AS markdown_chars, coalesce(warning_count, 0) AS warning_count, coalesce(route, 'error') AS route
+        FROM documents d LEFT JOIN r USING (doc_id) LEFT JOIN c USING (doc_id) LEFT JOIN w USING (doc_id))""".replace("{price}", repr(VLM_CALL))
+
+
+@query("file_results", f"""WITH {routed_sql(True, 'vlm')}, {_FILES} SELECT * FROM files""")
+def file_results(spark, sf_dir):
+    return long_id(_files(spark, sf_dir))
+
+
+@query("batch_summary", f"""WITH {routed_sql(True, 'vlm')}, {_FILES} SELECT count(*) AS total_files, count(*) FILTER (WHERE success) AS succeeded, count(*) FILTER (WHERE NOT success) AS failed,
+    sum(vlm_calls)::BIGINT AS total_vlm_calls, 0::BIGINT AS total_textract_calls, round(sum(vlm_calls) * {VLM_CALL!r}::DOUBLE, 6) AS vlm_cost, 0.0::DOUBLE AS textract_cost, round(sum(vlm_calls) * {VLM_CALL!r}::DOUBLE, 6) AS estimated_cost,
+    true AS cost_is_estimate, sum(pages)::BIGINT AS total_pages, sum(vlm_pages)::BIGINT AS vlm_routed_pages, count(*) FILTER (WHERE route = 'vlm') AS docs_using_vlm,
+    count(*) FILTER (WHERE route = 'docling-kept') AS docs_docling_kept, round(sum(pages) * {PRICES['vlm']!r}::DOUBLE, 6) AS worst_cost, false AS budget_exceeded, NULL::BIGINT AS budget_tripped_at FROM files""")
+def batch_summary(spark, sf_dir):
+    return rollup.batch_summary(_files(spark, sf_dir))
+
+
+@query("page_cap_warnings", f"""WITH {LINES} SELECT doc_id, 3 AS page_index, 'page_unparseable' AS code, 'Page 3 exceeds the limit of 3 pages' AS message FROM lines WHERE ln // 4 >= 3 GROUP BY doc_id""")
+def cap_warnings(spark, sf_dir):
+    return long_id(page_cap_warnings(elements_of(spark, sf_dir), 3)).select("doc_id", "page_index", "code", "message")
+
+
+@query("table_crops", """WITH e AS (SELECT p_partkey AS doc_id, p_size % 4 <> 0 AS is_table, p_partkey % 2 = 0 AS asked, p_partkey % 2 = 0 AND p_partkey % 6 <> 0 AND p_size % 4 <> 0 AS usable FROM part)
+    SELECT doc_id, CASE WHEN usable THEN 'crop' ELSE 'own' END AS cells, CASE WHEN asked AND is_table AND NOT usable THEN 'vlm_table_fallback' END AS warning FROM e""")
+def table_crops(spark, sf_dir):
+    k, content = F.col("p_partkey"), lambda rows, cells: F.struct(rows.cast("int").alias("rows"), F.lit(1).alias("cols"), F.lit(cells).alias("cells"))
+    parts = table(spark, sf_dir, "part")
+    elements = parts.select(k.alias("doc_id"), F.lit("t").alias("element_id"), F.when(F.col("p_size") % 4 != 0, "table").otherwise("paragraph").alias("type"), content(F.lit(1), "own").alias("content"))
+    crops = parts.where(k % 2 == 0).select(k.alias("doc_id"), F.lit("t").alias("element_id"), content(F.when(k % 6 != 0, 1), "crop").alias("content"))
+    return routing.table_crops(elements, crops).select("doc_id", "content.cells", "warning")
+
+
 @query("engine_page_replacement", f"""WITH {routed_sql(False, 'vlm')} SELECT l.doc_id, l.ln // 4 AS page_index, count(*) AS kept_elements FROM lines l
     LEFT JOIN (SELECT doc_id, page_index FROM record WHERE promote AND m > 4) p ON l.doc_id = p.doc_id AND l.ln // 4 = p.page_index WHERE p.doc_id IS NULL GROUP BY ALL""")
 def engine_page_replacement(spark, sf_dir):
@@ -597,6 +653,14 @@ def model_compare_route(spark, sf_dir):
     return report.first_route(first, ["F", "O"])
 
 
+@query("model_comparison", """WITH o AS (SELECT o_custkey AS doc_id, o_orderstatus AS label, round(max(o_totalprice), 2) AS ned, arg_min(o_orderpriority, o_orderkey) AS route FROM orders GROUP BY ALL)
+    SELECT doc_id, arg_min(route, CASE label WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END) AS route, max(ned) FILTER (WHERE label = 'F') AS "ned_F", max(ned) FILTER (WHERE label = 'O') AS "ned_O",
+    max(ned) FILTER (WHERE label = 'P') AS "ned_P" FROM o GROUP BY doc_id""")
+def model_comparison(spark, sf_dir):
+    told = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("doc_id"), F.col("o_orderstatus").alias("label")).agg(F.round(F.max("o_totalprice"), 2).alias("ned"), F.min_by("o_orderpriority", "o_orderkey").alias("route"))
+    return report.label_comparison(told.select("doc_id", "label", "ned"), told.select("doc_id", "label", "route"), ["F", "O", "P"])
+
+
 @query("log_latency", """SELECT user_id::VARCHAR AS doc_id, arg_max(value, event_id) AS parse_duration_s FROM events WHERE event_type = 'click' GROUP BY user_id""")
 def log_latency(spark, sf_dir):
     events = table(spark, sf_dir, "events")

@@ -30,11 +30,18 @@ class Parsed:
 
 def measured_pages(elements: DataFrame, kind: str = "pdf", grades: DataFrame | None = None, layers: DataFrame | None = None, config: Config = Config()) -> DataFrame:
     """A row for each page: markdown, gate decision, and whether its own text passes. One aggregation makes the pages."""
-    texts = page_markdown(elements, *page_text_aggregates(), F.count("*").alias("n_elements"))
+    within = elements if config.max_pages is None else elements.where(F.col("page_index") < config.max_pages)
+    texts = page_markdown(within, *page_text_aggregates(), F.count("*").alias("n_elements"))
     pages = gated(texts, grades, layers, config.one_based_grades).drop("counts", "signals", "passes")
     own = with_signals(pages, "markdown").drop("counts", "signals")
-    kinds = own if "kind" in elements.columns else own.withColumn("kind", F.lit(kind))
-    return kinds if config.max_pages is None else kinds.where(F.col("page_index") < config.max_pages)
+    return own if "kind" in elements.columns else own.withColumn("kind", F.lit(kind))
+
+
+def page_cap_warnings(elements: DataFrame, most: int) -> DataFrame:
+    """Warning rows of the documents that go on after most pages, at the first page that is left out."""
+    over = elements.where(F.col("page_index") >= most).groupBy("doc_id").agg(F.min("page_index").alias("page_index"))
+    message = F.concat(F.lit("Page "), F.col("page_index").cast("string"), F.lit(f" exceeds the limit of {most} pages"))
+    return warning_rows(over, F.lit("page_unparseable"), message, "page", F.col("page_index"))
 
 
 def read_replies(replies: DataFrame) -> DataFrame:
