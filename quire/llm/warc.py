@@ -98,7 +98,8 @@ def read_records(raw: BinaryIO, chunk: int = CHUNK) -> Iterator[tuple]:
     """(page_id, kind, refers_to, header digest, chunk_no, data, bytes_so_far, sha1_so_far, last) for each chunk of each record.
 
     bytes_so_far and sha1_so_far are of the payload; a revisit has one empty chunk, which carries those of the payload it
-    stands for, from its headers. An empty payload has one empty chunk.
+    stands for, from its headers. An empty payload has one empty chunk. A payload that differs from the SHA-1 in its header
+    raises a ValueError at its last chunk.
     """
     stream = Inflated(raw)
     while True:
@@ -117,7 +118,8 @@ def read_records(raw: BinaryIO, chunk: int = CHUNK) -> Iterator[tuple]:
             raise ValueError(f"a record's header ends early or lacks {sorted(lacking) or 'the length of its payload'}")
         left = int(head["content-length"]) - size - len(status)
         page = _number(head["warc-record-id"].strip("<>").removeprefix(SCHEME))
-        digest, kind = head["warc-payload-digest"].removeprefix("sha1:"), head["warc-type"]
+        named, kind = head["warc-payload-digest"], head["warc-type"]
+        digest = named.removeprefix("sha1:")
         refers = _number(head["warc-refers-to"].strip("<>").removeprefix(SCHEME)) if "warc-refers-to" in head else None
         if kind == "revisit":
             yield page, kind, refers, digest, 0, b"", int(http["content-length"]), base64.b32decode(digest), True
@@ -133,6 +135,8 @@ def read_records(raw: BinaryIO, chunk: int = CHUNK) -> Iterator[tuple]:
                 left -= len(got)
             sha.update(part)
             done += len(part)
+            if not left and named.startswith("sha1:") and base32(sha.digest()) != digest:
+                raise ValueError(f"the payload of record {page} isn't that of its digest")
             yield page, kind, refers, digest, number, bytes(part), done, sha.copy().digest(), not left
             number += 1
             if not left:
@@ -235,7 +239,7 @@ def read_chunks(manifest: DataFrame, folder: str, chunk: int = CHUNK, with_data:
 def archived(pages: DataFrame, folder: str | None = None, chunk: int = CHUNK) -> DataFrame:
     """Writes pages to archives and reads them back: a row (page_id, kind, refers_to, payload_bytes, sha1, digest) for each page.
 
-    sha1 is of the bytes read, digest the one in the header, which it isn't compared with.
+    sha1 is of the bytes read, digest the one in the header; a response in which they differ stops the job.
 
     Empty tables give no archive and no row; repeated rows give a record each; other columns are not looked at.
     """
