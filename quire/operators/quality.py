@@ -5,22 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quire.constants import CONTENT_LEAST, COVERAGE_LEAST, GARBLED_MOST, LAYER_TOKENS_LEAST, LOW_GRADES, PRINTABLE_LEAST, RUN_REASON, WORD_LEAST
-from quire.functions.text import GARBLED, has_run, is_content, printable_length, strip, tokens
+from quire.functions.text import GARBLED, has_run, is_number, odd_tokens, printable_length, strip, tokens
 
 SIGNALS = ("garbled_token_ratio", "mean_word_length", "dict_hit_rate", "has_repeated_char_run", "ascii_printable_ratio")
 
+TOKEN_COUNTS = ("n_tokens", "n_garbled", "n_token_chars", "n_content")
+COUNTS = "struct<n_tokens:int,n_garbled:int,n_token_chars:int,n_content:int,has_run:boolean,n_printable:int,n_chars:int>"
 
-def text_counts(text: Column, words: Column | None = None) -> Column:
-    """The integers behind the signals; of a null text as of an empty one. words: its tokens, where they are at hand."""
+
+def text_counts(text: Column, words: Column | None = None, odd: Column | None = None) -> Column:
+    """The integers behind the signals; of a null text as of an empty one. words, odd: its tokens and odd tokens, where they are at hand."""
     text = F.coalesce(text, F.lit(""))
     words = tokens(text) if words is None else words
+    odd = odd_tokens(text) if odd is None else odd
     return F.struct(
-        F.size(words).alias("n_tokens"), F.size(F.filter(words, lambda t: t.rlike(GARBLED))).alias("n_garbled"),
-        F.length(F.array_join(words, "")).alias("n_token_chars"), F.size(F.filter(words, is_content)).alias("n_content"),
-        has_run(text).alias("has_run"), printable_length(text).alias("n_printable"), F.length(text).alias("n_chars"),
+        F.size(words).alias("n_tokens"), F.size(F.filter(odd, lambda t: t.rlike(GARBLED))).alias("n_garbled"),
+        F.length(F.array_join(words, "")).alias("n_token_chars"), (F.size(words) - F.size(odd) + F.size(F.filter(odd, is_number))).alias("n_content"),
+        *text_level_counts(text),
     )
 
 
+def text_level_counts(text: Column) -> list[Column]:
+    """Those of the counts that white space takes part in."""
+    return [has_run(text).alias("has_run"), printable_length(text).alias("n_printable"), F.length(text).alias("n_chars")]
+
+
 def signals_of(counts: Column) -> Column:
     """The five signals and the codes of those that fail, from text_counts(). A text without tokens fails as empty_text alone."""
     n, chars = counts["n_tokens"], counts["n_chars"]
@@ -38,16 +47,23 @@ def signals_of(counts: Column) -> Column:
     )
 
 
-def with_signals(df: DataFrame, text: str = "text") -> DataFrame:
+def with_signals(df: DataFrame, text: str = "text", like: str | None = None) -> DataFrame:
     """df with struct columns counts and signals, and passes.
 
     Tokens and counts go through generators of one row, which projections aren't merged across: else each use of them would split
-    and match the text again.
+    and match the text again. like: a text whose counts are there as counts already; where text differs from it by line feeds for
+    spaces only, its tokens are the same and aren't counted again.
     """
     own = [F.col(f"`{c}`") for c in df.columns if c not in ("counts", "signals", "passes")]
-    once = lambda value, name: F.inline(F.array(F.struct(value.alias(name))))
-    out = df.select(*own, once(tokens(F.coalesce(F.col(text), F.lit(""))), "_words"))
-    out = out.select(*own, once(text_counts(F.col(text), F.col("_words")), "counts"))
+    once = lambda *values: F.inline(F.array(F.struct(*values)))
+    told, known = F.coalesce(F.col(text), F.lit("")), F.lit(None).cast(COUNTS)
+    if like is not None:
+        same = F.replace(told, F.lit("\n\n"), F.lit(" ")) == F.col(like)
+        known = F.when(same, F.struct(*(F.col("counts")[c] for c in TOKEN_COUNTS), *text_level_counts(told)))
+    unknown = lambda make: F.when(F.col("_known").isNull(), make(told))
+    out = df.select(*own, once(known.cast(COUNTS).alias("_known")))
+    out = out.select(*own, "_known", once(unknown(tokens).alias("_words"), unknown(odd_tokens).alias("_odd")))
+    out = out.select(*own, once(F.coalesce("_known", F.when(F.col("_known").isNull(), text_counts(F.col(text), F.col("_words"), F.col("_odd"))).cast(COUNTS)).alias("counts")))
     out = out.withColumn("signals", signals_of(F.col("counts")))
     return out.withColumn("passes", F.size("signals.failing_signals") == 0)
 
@@ -111,28 +127,30 @@ def keep() -> Column:
     return F.struct(F.lit("keep").alias("action"), F.lit(None).cast("string").alias("reason"), F.lit(None).cast("int").alias("layer"))
 
 
-def page_text_aggregates() -> list[Column]:
-    """page_text and extracted_tokens of a page's elements (seq, text): what the gate looks at.
+def page_text() -> Column:
+    """Aggregate: the non-empty texts of a page's elements (seq, text), in order: what the gate looks at.
 
-    Only texts of elements count; the cells of tables, which carry no text, do not.
+    Only texts of elements count; the cells of tables, which carry no text, do not. Spaces join them, so its tokens are theirs.
     """
-    told = F.coalesce(F.col("text"), F.lit(""))
-    kept = F.collect_list(F.when(told != "", F.struct("seq", F.col("text"))))
-    return [F.array_join(F.transform(F.array_sort(kept), lambda x: x["text"]), " ").alias("page_text"), F.sum(F.size(tokens(told))).alias("extracted_tokens")]
+    kept = F.collect_list(F.when(F.coalesce(F.col("text"), F.lit("")) != "", F.struct("seq", F.col("text"))))
+    return F.array_join(F.sort_array(kept)["text"], " ").alias("page_text")
 
 
 def page_texts(elements: DataFrame) -> DataFrame:
     """(doc_id, page_index, page_text, extracted_tokens) from elements (doc_id, page_index, seq, text)."""
-    return elements.groupBy("doc_id", "page_index").agg(*page_text_aggregates())
+    return elements.groupBy("doc_id", "page_index").agg(page_text()).withColumn("extracted_tokens", F.size(tokens(F.col("page_text"))).cast("long"))
 
 
 def gated(pages: DataFrame, grades: DataFrame | None = None, layers: DataFrame | None = None, one_based_grades: bool = False) -> DataFrame:
-    """pages (doc_id, page_index, page_text, extracted_tokens) with decision: grade, then coverage, then heuristics, else keep.
+    """pages (doc_id, page_index, page_text) with decision: grade, then coverage, then heuristics, else keep; and the page_text's counts.
+
+    What was extracted is the tokens of page_text, where pages have no extracted_tokens of their own.
 
     grades (doc_id, page_index, low_grade, mean_grade) and layers (doc_id, page_index, text_layer_tokens) are joined where given.
     one_based_grades takes a page's own grade, else that of the next index, as lookups by either convention do.
     """
     out = with_signals(pages, "page_text")
+    out = out if "extracted_tokens" in pages.columns else out.withColumn("extracted_tokens", F.col("counts.n_tokens").cast("long"))
     key = ["doc_id", "page_index"]
     none = F.lit(None).cast("string")
     if grades is None:

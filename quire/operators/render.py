@@ -59,7 +59,7 @@ def block(kind: Column, text: Column, level: Column, alt: Column, table: Column)
 def ordered_join(value: str, order: str, separator: str) -> Column:
     """Aggregate: the non-empty values in order, joined."""
     kept = F.collect_list(F.when(F.coalesce(F.col(value), F.lit("")) != "", F.struct(F.col(order).alias("o"), F.col(value).alias("v"))))
-    return F.array_join(F.transform(F.array_sort(kept), lambda x: x["v"]), separator)
+    return F.array_join(F.sort_array(kept)["v"], separator)
 
 
 def page_markdown(elements: DataFrame, *more: Column) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from quire.constants import Config
 from quire.functions.errors import parsed_reply
-from quire.operators.quality import gated, page_text_aggregates, with_signals
+from quire.operators.quality import gated, page_text, with_signals
 from quire.operators.render import document_markdown, page_markdown
 from quire.operators.rollup import low_confidence, mean_confidence, page_confidence, route_records, warning_rows
 from quire.operators.routing import intents, routed
@@ -31,9 +31,9 @@ class Parsed:
 def measured_pages(elements: DataFrame, kind: str = "pdf", grades: DataFrame | None = None, layers: DataFrame | None = None, config: Config = Config()) -> DataFrame:
     """A row for each page: markdown, gate decision, and whether its own text passes. One aggregation makes the pages."""
     within = elements if config.max_pages is None else elements.where(F.col("page_index") < config.max_pages)
-    texts = page_markdown(within, *page_text_aggregates(), F.count("*").alias("n_elements"))
-    pages = gated(texts, grades, layers, config.one_based_grades).drop("counts", "signals", "passes")
-    own = with_signals(pages, "markdown").drop("counts", "signals")
+    texts = page_markdown(within, page_text(), F.count("*").alias("n_elements"))
+    pages = gated(texts, grades, layers, config.one_based_grades)
+    own = with_signals(pages, "markdown", like="page_text").drop("counts", "signals")
     return own if "kind" in elements.columns else own.withColumn("kind", F.lit(kind))
 
 

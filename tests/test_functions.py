@@ -129,3 +129,30 @@ def test_vocabularies_agree():
     assert set(constants.EXTRACTOR_TYPES.values()) | set(constants.LAYOUT_TYPES.values()) <= set(constants.ELEMENT_TYPES)
     assert len(constants.ROUTES) == len(set(constants.ROUTES)) == 7 and set(constants.LISTED_SUFFIXES) == set(constants.KIND_BY_SUFFIX) - {".webp"}
     assert all(constants.KIND_BY_MIME.get(m, "image") == constants.KIND_BY_SUFFIX[s] for s, m in constants.MIME_BY_SUFFIX.items())
+
+
+def test_markdown_takes_the_counts_of_a_page_text_with_the_same_tokens(spark):
+    rows = [(k, t, t if k % 2 else t.replace(" ", "\n\n")) for k, t in enumerate(["plain words a1 (12.5%)", "x" * 9, "a b 3 é3", "", "a\x1cb c", "       a"])] + [(9, "a b", "# a c1"), (10, "a", None)]
+    df = spark.createDataFrame(rows, "k int, page_text string, markdown string")
+    known = quality.with_signals(df, "page_text")
+    got = {r["k"]: (tuple(r["counts"]), r["passes"]) for r in quality.with_signals(known, "markdown", like="page_text").collect()}
+    assert {k: c for k, (c, _) in got.items()} == {k: python_counts(m) for k, _, m in rows}
+    assert {k: p for k, (_, p) in got.items()} == {r["k"]: r["passes"] for r in quality.with_signals(df, "markdown").collect()}
+
+
+def test_pages_are_split_into_tokens_once(spark):
+    from quire.plans.parse import measured_pages
+    from quire.sources.extractors import from_lines
+
+    pages = measured_pages(from_lines(spark.createDataFrame([("d", "one two\n\n three\x1cfour\nx1")], "doc_id string, text string")))
+    assert pages.first()["extracted_tokens"] == 5
+    before = pages._jdf.queryExecution().optimizedPlan().toString().split("Aggregate [doc_id")[-1]
+    assert r"\p{IsWhite_Space}]+" not in before and "split(text" in before  # lines aren't split into tokens besides
+
+
+def test_white_space_like_python(spark):
+    spaces = [chr(c) for c in range(0x110000) if chr(c).isspace()]
+    assert sorted(spaces) == sorted(tx.SPACES)
+    texts = [f"{s}a{s}b{s}{s}" for s in spaces] + ["a​b", "c᠎d"]
+    for t, words, own in spark.createDataFrame([(t,) for t in texts], "t string").select("t", tx.tokens(F.col("t")), tx.strip(F.col("t"))).collect():
+        assert words == t.split() and own == t.strip(), repr(t)
