@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from quire.constants import COLUMN_TOLERANCE, FULL_WIDTH, LAYOUT_LEVELS, LAYOUT_TYPES, SCORE_LEAD, UPWARD
 from quire.functions.media import lookup
+from quire.sources.shared import materialised
 
 BLOCK = """doc_id string, page int, id string, pos int, block_type string, text string, children array<string>, box struct<left:double,top:double,width:double,height:double>,
 row int, col int, row_span int, col_span int, entity_types array<string>, selected boolean"""
@@ -93,8 +94,9 @@ def elements(blocks: DataFrame, order: DataFrame | None = None) -> DataFrame:
     """(doc_id, seq, type, level, text, table_id) of the blocks of each document, in order (native order by default).
 
     Layout blocks of a known type give an element with their text; layout tables one for their first table; tables that no layout
-    block holds come last, in input order.
+    block holds come last, in input order. The blocks are written to the shared folder at once, so that they are made once.
     """
+    blocks = materialised(blocks, "blocks")  # what follows reads them many times
     order = native_order(blocks) if order is None else order
     laid = order.join(blocks.select("doc_id", "id", "block_type"), ["doc_id", "id"]).join(layout_texts(blocks), ["doc_id", "id"], "left").join(first_tables(blocks), ["doc_id", "id"], "left")
     kind = F.when(F.col("block_type") == "LAYOUT_TABLE", F.when(F.col("table_id").isNotNull(), "table")).otherwise(lookup(LAYOUT_TYPES, F.col("block_type")))
@@ -118,51 +120,64 @@ def banded(boxes: DataFrame, key: str = "page", tolerance: float = COLUMN_TOLERA
     Boxes wider than 85 % divide the page. The others, by x center, join the band whose running mean is nearest within the
     tolerance of the last band, else open the next: a fold over the page's sorted centers, since each mean depends on who came before.
     """
-    rows = with_geometry(boxes).withColumn("is_full", F.col("width") > FULL_WIDTH)
-    # bounded by the boxes of one page
-    centers = rows.where("NOT is_full").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("x_center", "pos"))).alias("_c"))
-    start = F.struct(F.lit(-1).alias("band"), F.lit(0.0).cast("double").alias("mean"), F.lit(0).alias("n"), F.array().cast("array<struct<pos:bigint,band:int>>").alias("out"))
+    rows = with_geometry(boxes).withColumn("is_full", F.col("width") > FULL_WIDTH).withColumn("pos", F.col("pos").cast("long"))
+    # bounded by the boxes of one page, which stay together: nothing is joined to its band
+    rest = [F.col(f"`{c}`") for c in rows.columns if c not in (key, "x_center", "pos")]
+    pages = rows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("x_center", "pos", *rest))).alias("_c"))
+    start = F.struct(F.lit(-1).alias("band"), F.lit(0.0).cast("double").alias("mean"), F.lit(0).alias("n"), F.array().cast("array<int>").alias("out"))
 
     def step(a: Column, c: Column) -> Column:
         joins = (a["n"] > 0) & (F.abs(c["x_center"] - a["mean"]) <= tolerance)
         band = F.when(joins, a["band"]).otherwise(a["band"] + 1)
         n = F.when(joins, a["n"] + 1).otherwise(F.lit(1))
         mean = F.when(joins, a["mean"] + (c["x_center"] - a["mean"]) / (a["n"] + 1)).otherwise(c["x_center"])
-        return F.struct(band.alias("band"), mean.alias("mean"), n.alias("n"), F.concat(a["out"], F.array(F.struct(c["pos"].cast("long").alias("pos"), band.alias("band")))).alias("out"))
+        own = F.struct(band.alias("band"), mean.alias("mean"), n.alias("n"), F.concat(a["out"], F.array(band)).alias("out"))
+        return F.when(c["is_full"], F.struct(a["band"].alias("band"), a["mean"].alias("mean"), a["n"].alias("n"), F.concat(a["out"], F.array(F.lit(None).cast("int"))).alias("out"))).otherwise(own)
 
-    bands = centers.select(key, F.explode(F.aggregate("_c", start, step, lambda a: a["out"])).alias("_b")).select(key, F.col("_b.pos").alias("pos"), F.col("_b.band").alias("band"))
-    counts = bands.groupBy(key).agg((F.max("band") + 1).alias("n_bands"))
-    out = rows.withColumn("pos", F.col("pos").cast("long")).join(bands, [key, "pos"], "left").join(counts, key, "left")
-    return out.withColumn("n_bands", F.coalesce("n_bands", F.lit(0)))
+    folded = pages.withColumn("_f", F.aggregate("_c", start, step, lambda a: F.struct((a["band"] + 1).alias("n_bands"), a["out"].alias("out"))))
+    out = folded.select(key, F.col("_f.n_bands").alias("n_bands"), F.inline(F.arrays_zip("_c", F.col("_f.out").alias("band"))).alias("_b", "band"))
+    return out.select(key, "_b.*", "band", "n_bands")
+
+
+def zoned(boxes: DataFrame, key: str) -> tuple[DataFrame, WindowSpec]:
+    """boxes with bands and _zone, and the window of the column-aware order."""
+    # a divider comes before what begins as high, so that all dividers down to a box's top have been counted at it
+    above = Window.partitionBy(key).orderBy("top", F.col("is_full").desc(), "pos").rowsBetween(Window.unboundedPreceding, 0)
+    rows = banded(boxes, key).withColumn("_zone", F.count_if("is_full").over(above))
+    many = F.col("n_bands") > 1
+    return rows, Window.partitionBy(key).orderBy(F.when(many, F.col("_zone")), F.when(many, (~F.col("is_full")).cast("int")), F.when(many, F.col("band")), "top", "left", "pos")
 
 
 def column_order(boxes: DataFrame, key: str = "page") -> DataFrame:
     """boxes with geo_place: dividers by top open zones; in a zone bands from left to right, each by (top, left). With at most one
     band all boxes by (top, left)."""
-    rows = banded(boxes, key)
-    above = Window.partitionBy(key).orderBy("top").rangeBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_zone", F.count_if("is_full").over(above))
-    dividers = Window.partitionBy(key, "is_full").orderBy("top", "pos")
-    rows = rows.withColumn("_zone", F.when(F.col("is_full"), F.row_number().over(dividers)).otherwise(F.col("_zone")))
-    many = F.col("n_bands") > 1
-    w = Window.partitionBy(key).orderBy(F.when(many, F.col("_zone")), F.when(many, (~F.col("is_full")).cast("int")), F.when(many, F.col("band")), "top", "left", "pos")
+    rows, w = zoned(boxes, key)
     return rows.withColumn("geo_place", F.row_number().over(w) - 1).drop("_zone")
 
 
+def good_step(x: Column, y: Column, tolerance: float = COLUMN_TOLERANCE) -> Column:
+    """1 if the step from a box to that with x_center x and top y goes down a column or up to the next, else 0; null without a next one."""
+    same = F.abs(x - F.col("x_center")) <= tolerance
+    down, reset = same & (y >= F.col("top") - UPWARD), ~same & (x > F.col("x_center")) & (y < F.col("top") - UPWARD)
+    return F.when(x.isNotNull(), (down | reset).cast("int"))
+
+
 def order_score(boxes: DataFrame, place: str, key: str = "page", tolerance: float = COLUMN_TOLERANCE) -> DataFrame:
     """(key, score): the share of steps of the order that go down a column or up to the next; 0.5 for under two boxes."""
     w = Window.partitionBy(key).orderBy(place)
     rows = with_geometry(boxes).select(key, "x_center", "top", F.lead("x_center").over(w).alias("_x"), F.lead("top").over(w).alias("_y"))
-    same = F.abs(F.col("_x") - F.col("x_center")) <= tolerance
-    down, reset = same & (F.col("_y") >= F.col("top") - UPWARD), ~same & (F.col("_x") > F.col("x_center")) & (F.col("_y") < F.col("top") - UPWARD)
-    return rows.groupBy(key).agg(F.coalesce(F.avg(F.when(F.col("_x").isNotNull(), (down | reset).cast("int"))), F.lit(0.5)).alias("score"))
+    return rows.groupBy(key).agg(F.coalesce(F.avg(good_step(F.col("_x"), F.col("_y"), tolerance)), F.lit(0.5)).alias("score"))
 
 
 def reconciled(boxes: DataFrame, key: str = "page", lead: float = SCORE_LEAD) -> DataFrame:
-    """boxes with place and adopted: the column-aware order where it scores better than that by (top, left) by more than lead."""
-    by_top = Window.partitionBy(key).orderBy("top", "left", "pos")
-    rows = column_order(boxes, key).withColumn("top_place", F.row_number().over(by_top) - 1)
-    given = order_score(rows, "top_place", key).withColumnRenamed("score", "score_given")
-    geo = order_score(rows, "geo_place", key).withColumnRenamed("score", "score_geo")
-    out = rows.join(given, key).join(geo, key).withColumn("adopted", F.col("score_geo") > F.col("score_given") + lead)
+    """boxes with place and adopted: the column-aware order where it scores better than that by (top, left) by more than lead.
+
+    The boxes of a page are dealt once; both orders and their scores are windows over them.
+    """
+    rows, by_column = zoned(boxes, key)
+    by_top, page = Window.partitionBy(key).orderBy("top", "left", "pos"), Window.partitionBy(key)
+    for w, place, score in ((by_column, "geo_place", "score_geo"), (by_top, "top_place", "score_given")):
+        rows = rows.withColumns({place: F.row_number().over(w) - 1, "_x": F.lead("x_center").over(w), "_y": F.lead("top").over(w)})
+        rows = rows.withColumn(score, F.coalesce(F.avg(good_step(F.col("_x"), F.col("_y"))).over(page), F.lit(0.5)))
+    out = rows.drop("_zone", "_x", "_y").withColumn("adopted", F.col("score_geo") > F.col("score_given") + lead)
     return out.withColumn("place", F.when(F.col("adopted"), F.col("geo_place")).otherwise(F.col("top_place")))

@@ -315,3 +315,17 @@ def test_reasons_have_values(spark):
     pages = spark.createDataFrame([("d", 0, "a1 b2 c3", 3), ("d", 1, "a b c ........", 4)], "doc_id string, page_index int, page_text string, extracted_tokens long")
     got = {r["page_index"]: r["decision"]["reason"] for r in quality.gated(pages).collect()}
     assert got == {0: "heuristic_failed: garbled_token_ratio=1.00, dict_hit_rate=0.00", 1: "heuristic_failed: repeated_char_run"}
+
+
+def test_boxes_of_a_page_are_dealt_once(spark):
+    df = spark.createDataFrame([(1, k, 0.05 + 0.4 * (k % 2), k / 8, 0.9 if k == 3 else 0.25) for k in range(8)], "page int, pos long, left double, top double, width double")
+    out = layout.reconciled(df)
+    assert "Join" not in (plan := out._jdf.queryExecution().executedPlan().toString()) and plan.count("Exchange hashpartitioning") == 1
+    assert sorted(r["place"] for r in out.collect()) == list(range(8))
+
+
+def test_blocks_of_a_graph_are_made_once(spark):
+    rows = [("d", "b", 0, "LAYOUT_TEXT", None, ["l"], None), ("d", "l", 1, "LINE", "x", [], None)]
+    df = spark.createDataFrame(rows, "doc_id string, id string, pos int, block_type string, text string, children array<string>, selected boolean")
+    out = layout.elements(df.withColumn("text", F.when(F.col("text").isNotNull(), F.expr("uuid()"))))
+    assert "uuid(" not in out._jdf.queryExecution().optimizedPlan().toString() and [r["type"] for r in out.collect()] == ["paragraph"]
