@@ -31,6 +31,16 @@ def tokens(text: Column) -> Column:
     return F.array_remove(F.when(plain.rlike(OTHER_SPACE), F.split(text, f"{SPACE}+")).otherwise(F.split(plain, " ")), "")
 
 
+def on_one_line(text: Column) -> Column:
+    """text with spaces for line feeds, and none at its ends."""
+    return F.btrim(F.replace(text, F.lit("\n"), F.lit(" ")))
+
+
+def ink(line: Column) -> Column:
+    """The characters of the tokens of on_one_line(), where single spaces alone part them; else null. They are then counted without a split."""
+    return F.when(~line.contains("  ") & ~line.rlike(OTHER_SPACE), F.length(F.replace(line, F.lit(" "), F.lit(""))))
+
+
 def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(SPACES))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quire.constants import CONTENT_LEAST, COVERAGE_LEAST, GARBLED_MOST, LAYER_TOKENS_LEAST, LOW_GRADES, PRINTABLE_LEAST, RUN_REASON, WORD_LEAST
-from quire.functions.text import GARBLED, has_run, is_number, odd_tokens, printable_length, strip, tokens
+from quire.functions.text import GARBLED, has_run, ink, is_number, odd_tokens, on_one_line, printable_length, strip, tokens
 
 SIGNALS = ("garbled_token_ratio", "mean_word_length", "dict_hit_rate", "has_repeated_char_run", "ascii_printable_ratio")
 
@@ -13,21 +13,34 @@ TOKEN_COUNTS = ("n_tokens", "n_garbled", "n_token_chars", "n_content")
 COUNTS = "struct<n_tokens:int,n_garbled:int,n_token_chars:int,n_content:int,has_run:boolean,n_printable:int,n_chars:int>"
 
 
-def text_counts(text: Column, words: Column | None = None, odd: Column | None = None) -> Column:
-    """The integers behind the signals; of a null text as of an empty one. words, odd: its tokens and odd tokens, where they are at hand."""
+def text_counts(text: Column, of_tokens: Column | None = None, odd: Column | None = None) -> Column:
+    """The integers behind the signals; of a null text as of an empty one. of_tokens, odd: its token_counts() and odd tokens, where they are at hand."""
     text = F.coalesce(text, F.lit(""))
-    words = tokens(text) if words is None else words
+    of_tokens = token_counts(text) if of_tokens is None else of_tokens
     odd = odd_tokens(text) if odd is None else odd
+    n = of_tokens["n_tokens"]
     return F.struct(
-        F.size(words).alias("n_tokens"), F.size(F.filter(odd, lambda t: t.rlike(GARBLED))).alias("n_garbled"),
-        F.length(F.array_join(words, "")).alias("n_token_chars"), (F.size(words) - F.size(odd) + F.size(F.filter(odd, is_number))).alias("n_content"),
-        *text_level_counts(text),
+        n.alias("n_tokens"), F.size(F.filter(odd, lambda t: t.rlike(GARBLED))).alias("n_garbled"),
+        of_tokens["n_token_chars"].alias("n_token_chars"), (n - F.size(odd) + F.size(F.filter(odd, is_number))).alias("n_content"),
+        has_run(text).alias("has_run"), printable_length(text).alias("n_printable"), F.length(text).alias("n_chars"),
     )
 
 
-def text_level_counts(text: Column) -> list[Column]:
-    """Those of the counts that white space takes part in."""
-    return [has_run(text).alias("has_run"), printable_length(text).alias("n_printable"), F.length(text).alias("n_chars")]
+def token_counts(text: Column, line: Column | None = None, inked: Column | None = None) -> Column:
+    """(n_tokens, n_token_chars). line, inked: on_one_line() of text and its ink(), where they are at hand; without ink it is split."""
+    line = on_one_line(text) if line is None else line
+    inked = ink(line) if inked is None else inked
+    words = tokens(text)
+    plain = F.struct(F.when(inked == 0, 0).otherwise(F.length(line) - inked + 1).alias("n_tokens"), inked.alias("n_token_chars"))
+    return F.when(inked.isNotNull(), plain).otherwise(F.struct(F.size(words).alias("n_tokens"), F.length(F.array_join(words, "")).alias("n_token_chars")))
+
+
+def carried_counts(text: Column, counts: Column) -> Column:
+    """The counts of text from those of the same text with a space for each "\\n\\n": only runs of spaces may be broken, and each pair of
+    line feeds, neither of which is printable, has stood for one printable character."""
+    n = F.length(text)
+    run = F.when(counts["has_run"], has_run(text)).otherwise(F.lit(False))
+    return F.struct(*(counts[c].alias(c) for c in TOKEN_COUNTS), run.alias("has_run"), (counts["n_printable"] + counts["n_chars"] - n).alias("n_printable"), n.alias("n_chars"))
 
 
 def signals_of(counts: Column) -> Column:
@@ -50,20 +63,22 @@ def signals_of(counts: Column) -> Column:
 def with_signals(df: DataFrame, text: str = "text", like: str | None = None) -> DataFrame:
     """df with struct columns counts and signals, and passes.
 
-    Tokens and counts go through generators of one row, which projections aren't merged across: else each use of them would split
-    and match the text again. like: a text whose counts are there as counts already; where text differs from it by line feeds for
-    spaces only, its tokens are the same and aren't counted again.
+    What counts are made of goes through generators of one row, which projections aren't merged across: else each use would search the
+    text again. like: a text whose counts are there as counts already; where text differs from it by line feeds for spaces only, its
+    counts follow from them.
     """
     own = [F.col(f"`{c}`") for c in df.columns if c not in ("counts", "signals", "passes")]
     once = lambda *values: F.inline(F.array(F.struct(*values)))
     told, known = F.coalesce(F.col(text), F.lit("")), F.lit(None).cast(COUNTS)
     if like is not None:
         same = F.replace(told, F.lit("\n\n"), F.lit(" ")) == F.col(like)
-        known = F.when(same, F.struct(*(F.col("counts")[c] for c in TOKEN_COUNTS), *text_level_counts(told)))
+        known = F.when(same, carried_counts(told, F.col("counts")))
     unknown = lambda make: F.when(F.col("_known").isNull(), make(told))
     out = df.select(*own, once(known.cast(COUNTS).alias("_known")))
-    out = out.select(*own, "_known", once(unknown(tokens).alias("_words"), unknown(odd_tokens).alias("_odd")))
-    out = out.select(*own, once(F.coalesce("_known", F.when(F.col("_known").isNull(), text_counts(F.col(text), F.col("_words"), F.col("_odd"))).cast(COUNTS)).alias("counts")))
+    out = out.select(*own, "_known", once(unknown(on_one_line).alias("_line"), unknown(odd_tokens).alias("_odd")))
+    out = out.select(*own, "_known", "_line", "_odd", once(ink(F.col("_line")).alias("_ink")))
+    out = out.select(*own, "_known", "_odd", once(unknown(lambda t: token_counts(t, F.col("_line"), F.col("_ink"))).alias("_of")))
+    out = out.select(*own, once(F.coalesce("_known", F.when(F.col("_known").isNull(), text_counts(F.col(text), F.col("_of"), F.col("_odd"))).cast(COUNTS)).alias("counts")))
     out = out.withColumn("signals", signals_of(F.col("counts")))
     return out.withColumn("passes", F.size("signals.failing_signals") == 0)
 
@@ -146,7 +161,8 @@ def gated(pages: DataFrame, grades: DataFrame | None = None, layers: DataFrame |
 
     What was extracted is the tokens of page_text, where pages have no extracted_tokens of their own.
 
-    grades (doc_id, page_index, low_grade, mean_grade) and layers (doc_id, page_index, text_layer_tokens) are joined where given.
+    grades (doc_id, page_index, low_grade, mean_grade) and layers (doc_id, page_index, text_layer_tokens) are joined where given; else
+    pages may have these columns themselves.
     one_based_grades takes a page's own grade, else that of the next index, as lookups by either convention do.
     """
     out = with_signals(pages, "page_text")
@@ -154,15 +170,18 @@ def gated(pages: DataFrame, grades: DataFrame | None = None, layers: DataFrame |
     key = ["doc_id", "page_index"]
     none = F.lit(None).cast("string")
     if grades is None:
-        out = out.withColumns({"low_grade": none, "mean_grade": none})
+        out = out.withColumns({c: none for c in ("low_grade", "mean_grade") if c not in pages.columns})
     else:
-        out = out.join(grades.select(*key, "low_grade", "mean_grade", F.lit(True).alias("_own")), key, "left")
+        out = out.drop("low_grade", "mean_grade").join(grades.select(*key, "low_grade", "mean_grade", F.lit(True).alias("_own")), key, "left")
         if one_based_grades:
             after = grades.select("doc_id", (F.col("page_index") - 1).alias("page_index"), F.col("low_grade").alias("_low"), F.col("mean_grade").alias("_mean"))
             out = out.join(after, key, "left")
             out = out.withColumns({"low_grade": F.when(F.col("_own"), F.col("low_grade")).otherwise(F.col("_low")), "mean_grade": F.when(F.col("_own"), F.col("mean_grade")).otherwise(F.col("_mean"))}).drop("_low", "_mean")
         out = out.drop("_own")
-    out = out.withColumn("text_layer_tokens", F.lit(None).cast("long")) if layers is None else out.join(layers.select(*key, "text_layer_tokens"), key, "left")
+    if layers is not None:
+        out = out.drop("text_layer_tokens").join(layers.select(*key, "text_layer_tokens"), key, "left")
+    elif "text_layer_tokens" not in pages.columns:
+        out = out.withColumn("text_layer_tokens", F.lit(None).cast("long"))
     return out.withColumn("decision", F.coalesce(
         grade_decision(F.col("low_grade"), F.col("mean_grade")), coverage_decision(F.col("extracted_tokens"), F.col("text_layer_tokens")),
         heuristic_decision(F.col("page_text"), F.col("signals"), F.col("counts")), keep(),

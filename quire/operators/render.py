@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quire.constants import FURNITURE
@@ -62,14 +64,33 @@ def ordered_join(value: str, order: str, separator: str) -> Column:
     return F.array_join(F.sort_array(kept)["v"], separator)
 
 
-def page_markdown(elements: DataFrame, *more: Column) -> DataFrame:
-    """(doc_id, page_index, markdown) and other aggregates of the pages' elements (doc_id, page_index, seq, type, text, level, content{...})."""
+def with_markdown(elements: DataFrame) -> DataFrame:
+    """elements (type, text, level, content{...}) with _md, the Markdown of each."""
     content = F.col("content")
     table = F.when(F.col("type") == "table", table_markdown(content["cells"], content["rows"], content["cols"]))
-    rows = elements.withColumn("_md", block(F.col("type"), F.col("text"), F.col("level").cast("string"), content["alt_text"], table))
+    return elements.withColumn("_md", block(F.col("type"), F.col("text"), F.col("level").cast("string"), content["alt_text"], table))
+
+
+def page_markdown(elements: DataFrame, *more: Column) -> DataFrame:
+    """(doc_id, page_index, markdown) and other aggregates of the pages' elements (doc_id, page_index, seq, type, text, level, content{...})."""
+    rows = with_markdown(elements)
     return rows.groupBy("doc_id", "page_index").agg(strip(ordered_join("_md", "seq", "\n\n")).alias("markdown"), *more)
 
 
+def page_both(elements: DataFrame) -> DataFrame:
+    """(doc_id, page_index, markdown, page_text, n_elements): as page_markdown() and page_text() have them, from one list of the elements,
+    which holds an element's Markdown only where it isn't its text."""
+    part = F.struct("seq", F.col("text"), F.when(F.col("_md").eqNullSafe(F.col("text")), F.lit(None)).otherwise(F.coalesce("_md", F.lit(""))).alias("md"))
+    pages = with_markdown(elements).groupBy("doc_id", "page_index").agg(F.collect_list(part).alias("_parts"), F.count("*").alias("n_elements"))
+
+    def joined(value: Callable[[Column], Column], separator: str) -> Column:
+        told = F.transform("_parts", lambda x: F.struct(x["seq"].alias("o"), F.coalesce(value(x), F.lit("")).alias("v")))
+        return F.array_join(F.sort_array(F.filter(told, lambda x: x["v"] != ""))["v"], separator)
+
+    markdown, text = strip(joined(lambda x: F.coalesce(x["md"], x["text"]), "\n\n")), joined(lambda x: x["text"], " ")
+    return pages.select("doc_id", "page_index", markdown.alias("markdown"), text.alias("page_text"), "n_elements")
+
+
 def document_markdown(pages: DataFrame, *more: Column) -> DataFrame:
     """(doc_id, markdown) and other aggregates of pages (doc_id, page_index, markdown): those that aren't blank, in order."""
     told = pages.withColumn("_md", F.when(strip(F.col("markdown")) != "", F.col("markdown")))

@@ -40,7 +40,16 @@ def engine_problem(error: Column, valid_shape: Column, n_elements: Column, markd
 
 def reverts(fails: Column, fallback: Column, fallback_passes: Column, reason: Column) -> Column:
     """Arbitration: whether the extractor's rendering is taken back. Never for pages promoted for low coverage."""
-    return fails & ~blank(fallback) & fallback_passes & ~F.coalesce(reason.startswith("low_coverage:"), F.lit(False))
+    return taken_back(fails, ~blank(fallback), fallback_passes, reason)
+
+
+def taken_back(fails: Column, has_fallback: Column, fallback_passes: Column, reason: Column) -> Column:
+    return fails & has_fallback & fallback_passes & ~F.coalesce(reason.startswith("low_coverage:"), F.lit(False))
+
+
+def with_sizes(pages: DataFrame) -> DataFrame:
+    """pages with what routes ask of their Markdown, so that the texts needn't be read or dealt out for it."""
+    return pages if "_has_markdown" in pages.columns else pages.withColumns({"_has_markdown": ~blank(F.col("markdown")), "_n_markdown": F.length(F.coalesce("markdown", F.lit("")))})
 
 
 def routed(pages: DataFrame, results: DataFrame, config: Config = Config()) -> DataFrame:
@@ -50,24 +59,25 @@ def routed(pages: DataFrame, results: DataFrame, config: Config = Config()) -> D
     a result counts as an error. The final text is in markdown_out. Nullable quality columns say which keys a record has.
     """
     e = config.engine
-    out = pages.join(results, ["doc_id", "page_index"], "left")
+    out = with_sizes(pages).join(results, ["doc_id", "page_index"], "left")
     missing = F.col("valid_shape").isNull() & F.col("error").isNull()
     problem = engine_problem(F.when(missing, F.lit("no result")).otherwise(F.col("error")), F.col("valid_shape"), F.col("n_engine_elements"), F.col("engine_markdown"))
     out = out.withColumn("problem", F.when(F.col("promote"), problem))
-    has_fallback = ~blank(F.col("markdown"))
-    back = F.lit(config.arbitration) & reverts(~F.col("engine_passes"), F.col("markdown"), F.col("passes"), F.col("intent_reason"))
+    has_fallback = F.col("_has_markdown")
+    back = F.lit(config.arbitration) & taken_back(~F.col("engine_passes"), has_fallback, F.col("passes"), F.col("intent_reason"))
     route = (
         F.when(~F.col("promote"), KEPT).when(F.col("problem").isNotNull(), F.when(has_fallback, f"{e}-fallback-docling").otherwise(e))
         .when(back, f"{e}-rejected-kept-docling").otherwise(e)
     )
     used = F.col("promote") & F.col("problem").isNull()
-    text = F.when(used & (route == e), F.col("engine_markdown")).otherwise(F.coalesce(F.col("markdown"), F.lit("")))
+    won = used & (route == e)
+    text = F.when(won, F.col("engine_markdown")).otherwise(F.coalesce(F.col("markdown"), F.lit("")))
     reason = F.when(F.col("problem").isNotNull() & (F.col("error_kind") == THROTTLED), F.lit(THROTTLED)).otherwise(F.col("intent_reason"))
     return out.withColumns({
-        "route": route, "reason": reason, "markdown_out": text, "engine_quality_passes": F.when(used, F.col("engine_passes")),
+        "route": route, "reason": reason, "markdown_out": text, "n_chars": F.when(won, F.length("engine_markdown")).otherwise(F.col("_n_markdown")), "engine_quality_passes": F.when(used, F.col("engine_passes")),
         "vlm_quality_passes": F.when(used & F.lit(e == "vlm"), F.col("engine_passes")), "docling_quality_passes": F.when(used & F.lit(config.arbitration), F.col("passes")),
         "warning": F.when(F.col("problem").isNotNull(), F.when(F.col("problem") == "shape", "vlm_invalid_shape").otherwise("vlm_fallback_docling")).when(route.endswith("-rejected-kept-docling"), "vlm_rejected_kept_docling").when(F.col("promote"), "vlm_promoted"),
-    }).withColumn("n_chars", F.length("markdown_out"))
+    }).drop("_has_markdown", "_n_markdown")
 
 
 def table_crops(elements: DataFrame, crops: DataFrame) -> DataFrame:

@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quire.constants import Config
 from quire.functions.errors import parsed_reply
-from quire.operators.quality import gated, page_text, with_signals
-from quire.operators.render import document_markdown, page_markdown
+from quire.operators.quality import gated, with_signals
+from quire.operators.render import document_markdown, page_both
 from quire.operators.rollup import low_confidence, mean_confidence, page_confidence, route_records, warning_rows
-from quire.operators.routing import intents, routed
+from quire.operators.routing import intents, routed, with_sizes
 from quire.sources.shared import materialised
 
 RESULTS = "doc_id string, page_index int, error string, error_kind string, valid_shape boolean, n_engine_elements int, engine_markdown string, engine_passes boolean"
@@ -28,10 +28,13 @@ class Parsed:
     warnings: DataFrame
 
 
-def measured_pages(elements: DataFrame, kind: str = "pdf", grades: DataFrame | None = None, layers: DataFrame | None = None, config: Config = Config()) -> DataFrame:
-    """A row for each page: markdown, gate decision, and whether its own text passes. One aggregation makes the pages."""
+def measured_pages(elements: DataFrame, kind: str = "pdf", grades: DataFrame | None = None, layers: DataFrame | None = None, config: Config = Config(), told: dict[str, Column] | None = None) -> DataFrame:
+    """A row for each page: markdown, gate decision, and whether its own text passes. One aggregation makes the pages.
+
+    told: grades or layer tokens that follow from a page's keys, as columns (see gated()); what comes from elsewhere is joined as grades, layers.
+    """
     within = elements if config.max_pages is None else elements.where(F.col("page_index") < config.max_pages)
-    texts = page_markdown(within, page_text(), F.count("*").alias("n_elements"))
+    texts = page_both(within).withColumns(told or {})
     pages = gated(texts, grades, layers, config.one_based_grades)
     own = with_signals(pages, "markdown", like="page_text").drop("counts", "signals")
     return own if "kind" in elements.columns else own.withColumn("kind", F.lit(kind))
@@ -67,7 +70,7 @@ def parse_documents(pages: DataFrame, engine: Callable[[DataFrame], DataFrame] |
     Only promoted pages reach the engine. Its results, and the measured pages, are written to the shared folder at once, so what
     reads the results of a run neither calls the engine again nor measures the pages again.
     """
-    planned = materialised(intents(pages, config), "planned-pages")
+    planned = materialised(with_sizes(intents(pages, config)).drop("page_text"), "planned-pages")  # the gate has read it; the Markdown stays
     results = pages.sparkSession.createDataFrame([], RESULTS) if engine is None else materialised(engine(planned.where("promote")), "engine-results")
     out = routed(planned, results, config)
     out = out.withColumn("confidence", page_confidence(F.col("route"), F.col("engine_quality_passes"), F.col("vlm_quality_passes")))

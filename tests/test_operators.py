@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quire.constants import ROUTES, Config
 from quire.operators import layout, quality, render, report, rollup, routing
+from quire.plans import catalog
 from quire.plans.parse import RESULTS, parse_documents, read_replies
 from quire.sources import files
 from quire.sources.extractors import ELEMENT, engine_results, from_html, html_elements
@@ -329,3 +330,28 @@ def test_blocks_of_a_graph_are_made_once(spark):
     df = spark.createDataFrame(rows, "doc_id string, id string, pos int, block_type string, text string, children array<string>, selected boolean")
     out = layout.elements(df.withColumn("text", F.when(F.col("text").isNotNull(), F.expr("uuid()"))))
     assert "uuid(" not in out._jdf.queryExecution().optimizedPlan().toString() and [r["type"] for r in out.collect()] == ["paragraph"]
+
+
+def test_pages_of_texts_are_read_and_dealt_once(spark, tmp_path):
+    spark.createDataFrame([(k, "one two\n\n three\nx1\nlast") for k in range(30)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = catalog.pages_of(spark, str(tmp_path))
+    assert "Join" not in (plan := out._jdf.queryExecution().executedPlan().toString()) and plan.count("FileScan") == plan.count("Exchange hashpartitioning") == 1
+    got = {(r["doc_id"], r["page_index"]): (r["low_grade"], r["mean_grade"], r["text_layer_tokens"]) for r in out.collect()}
+    assert len(got) == 60 and got["7", 1] == ("POOR", None, None) and got["13", 0] == ("good", None, 13) and got["22", 0] == (None, "fair", 22)
+
+
+def test_a_page_is_made_of_one_list(spark):
+    r = random.Random(5)
+    texts = [None, "", " ", "a b", " a b ", "x\ty", "Z"]
+    rows = [(f"d{r.randrange(9)}", r.randrange(2), r.choice([None, 0, 0, 1, 2, 3]), r.choice(["paragraph", "heading", "footer", "list_item", "odd"]), r.choice(texts), 2, None) for _ in range(200)]
+    elements = spark.createDataFrame(rows, ELEMENT)
+    key = lambda df: {(p["doc_id"], p["page_index"]): tuple(p[c] for c in ("markdown", "page_text")) for p in df.collect()}
+    assert key(render.page_both(elements)) == key(render.page_markdown(elements, quality.page_text()))
+
+
+def test_texts_are_not_dealt_out_for_routes(spark):
+    pages = spark.createDataFrame([(str(k), 0, "pdf", "own", 1, True, PROMOTE) for k in range(9)], PAGE)
+    out = parse_documents(pages, lambda p: p.selectExpr("doc_id", "page_index", "NULL AS error", "NULL AS error_kind", "true AS valid_shape", "1 AS n_engine_elements", "'told' AS engine_markdown", "true AS engine_passes"))
+    routes = out.pages.select("doc_id", "route", "n_chars")
+    read = [x for x in routes._jdf.queryExecution().executedPlan().toString().split("FileScan")[1:] if "planned-pages" in x]
+    assert len(read) == 1 and ",markdown" not in read[0].split("]")[0] and {tuple(r)[1:] for r in routes.collect()} == {("vlm", 4)}
