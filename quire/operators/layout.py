@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
 from quire.constants import COLUMN_TOLERANCE, FULL_WIDTH, LAYOUT_LEVELS, LAYOUT_TYPES, SCORE_LEAD, UPWARD
 from quire.functions.media import lookup
@@ -49,22 +54,135 @@ def layout_texts(blocks: DataFrame) -> DataFrame:
     return out.select("doc_id", "id", F.coalesce("lines", "child_text", F.lit("")).alias("layout_text"))
 
 
+CHUNK = 1 << 16  # blocks that a worker resolves at once, rounded up to whole documents
+
+
+def whole_documents(batches: Iterator[pa.RecordBatch], rows: int = CHUNK) -> Iterator[pa.Table]:
+    """Batches sorted by their first column as tables of about so many rows, none of which parts a document."""
+    held, n, whole, last = [], 0, 0, None  # whole: rows of held before its last document
+    for b in batches:
+        if not b.num_rows:
+            continue
+        ends = pc.run_end_encode(b.column(0)).run_ends.to_numpy()
+        if len(ends) > 1:
+            whole = n + int(ends[-2])
+        elif held and not b.column(0)[0] == last:
+            whole = n
+        held.append(b)
+        n, last = n + b.num_rows, b.column(0)[-1]
+        if whole >= rows:
+            t = pa.Table.from_batches(held)
+            yield t.slice(0, whole)
+            held, n, whole = t.slice(whole).to_batches(), n - whole, 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _matches(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places (in wanted, in keys) of all equal pairs, in the order of wanted; keys below 0 equal none."""
+    by_key = np.argsort(keys, kind="stable")
+    found = keys[by_key]
+    low, high = np.searchsorted(found, wanted, "left"), np.searchsorted(found, wanted, "right")
+    n = np.where(wanted < 0, 0, high - low)
+    left = np.repeat(np.arange(len(wanted)), n)
+    return left, by_key[np.repeat(low - (np.cumsum(n) - n), n) + np.arange(len(left))]
+
+
+def _grouped(group: np.ndarray, at: np.ndarray, ties: list[pa.Array]) -> tuple[np.ndarray, np.ndarray]:
+    """The order by group, at and ties, and the first place of each group in it."""
+    order = np.lexsort((at, group))
+    g, a = group[order], at[order]
+    if np.any((g[1:] == g[:-1]) & (a[1:] == a[:-1])):
+        order = pc.sort_indices(pa.table([pa.array(group), pa.array(at), *ties], [str(k) for k in range(len(ties) + 2)]), [(str(k), "ascending") for k in range(len(ties) + 2)]).to_numpy()
+        g = group[order]
+    return order, np.flatnonzero(np.r_[True, g[1:] != g[:-1]][: len(g)])
+
+
+def _lists(starts: np.ndarray, values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(starts, len(values)), pa.int32()), values)
+
+
+def _rank(groups: np.ndarray, keys: np.ndarray) -> pa.Array:
+    """The place of each key in the sorted groups, null if it is none of them."""
+    place = np.searchsorted(groups, keys)
+    known = place < len(groups)
+    known[known] = groups[place[known]] == keys[known]
+    return pa.array(place, mask=~known)
+
+
+def _grids(t: pa.Table) -> pa.RecordBatch:
+    """The tables of whole documents; see tables()."""
+    c = {n: t.column(n).combine_chunks() for n in t.column_names}
+    ends = pc.run_end_encode(c["doc_id"]).run_ends.to_numpy()
+    doc = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+    n_kids = pc.fill_null(pc.list_value_length(c["children"]), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    parent = np.repeat(np.arange(len(doc)), n_kids)
+    at = np.arange(len(parent)) - np.repeat(np.cumsum(n_kids) - n_kids, n_kids)
+    # a key for each id of a document, -1 for null ones
+    code = pc.dictionary_encode(pa.concat_arrays([c["id"], c["children"].flatten()]))
+    n_ids, code = len(code.dictionary), pc.fill_null(code.indices, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    both = np.where((code < 0) | np.r_[lost := c["doc_id"].is_null().to_numpy(zero_copy_only=False), lost[parent]], -1, np.r_[doc, doc[parent]] * n_ids + code)
+    key, kid = both[: len(doc)], both[len(doc) :]
+    kind = c["kind"].to_numpy()
+
+    def edges(of: int, to: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(key of the parent, at, row of the child)"""
+        rows, some = np.flatnonzero(kind == to), np.flatnonzero((kind[parent] == of) & (key[parent] >= 0))
+        left, right = _matches(key[rows], kid[some])
+        return key[parent[some[left]]], at[some[left]], rows[right]
+
+    cell, place, row = edges(CELLS, WORDS)
+    words = c["text"].cast(pa.string()).take(pa.array(row))
+    order, starts = _grouped(cell, place, [words])
+    joined, told = pc.binary_join(_lists(starts, words.take(pa.array(order))), " "), cell[order][starts]
+
+    table, place, row = edges(TABLES, CELLS)
+    number = {n: c[n].to_numpy(zero_copy_only=False)[row] for n in ("row", "col", "row_span", "col_span")}
+    fields = {n: pa.array(v, pa.int32()) for n, v in number.items()} | {"text": pc.fill_null(joined.take(_rank(told, key[row])), "")}
+    fields = [fields[n] for n in CELL_FIELDS]
+    order, starts = _grouped(table, place, fields)
+    lists = _lists(starts, pa.StructArray.from_arrays(fields, CELL_FIELDS).take(pa.array(order)))
+    group = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(order)))
+    most = lambda a, b: np.maximum.reduceat((number[a].astype(np.int64) + number[b])[order], starts) if len(starts) else np.zeros(0, np.int64)
+    marked = c["header"].to_numpy(zero_copy_only=False)[row][order]
+    heads = np.unique(np.stack([group[marked], number["row"][order][marked].astype(np.int64)]), axis=1)[0]
+    heads = np.maximum(np.bincount(heads, minlength=len(starts)), 1)
+
+    mine = np.flatnonzero(kind == TABLES)
+    rank = _rank(table[order][starts], key[mine])
+    size = lambda v: pc.fill_null(pa.array(v, pa.int32()).take(rank), 0)
+    return pa.RecordBatch.from_arrays([c["doc_id"].take(pa.array(mine)), c["id"].take(pa.array(mine)), size(most("row", "row_span")), size(most("col", "col_span")), size(heads), lists.take(rank)], ["doc_id", "id", "rows", "cols", "header_rows", "cells"])
+
+
+TABLES, CELLS, WORDS = 0, 1, 2  # kinds of blocks that tables are made of
+CELL_FIELDS = ["row", "col", "text", "row_span", "col_span"]
+
+
 def tables(blocks: DataFrame) -> DataFrame:
     """(doc_id, id, rows, cols, header_rows, cells) of TABLE blocks: 0-based cells with spans of at least 1.
 
-    header_rows is the number of rows with a column header, 1 if none is marked, 0 without cells.
+    header_rows is the number of rows with a column header, 1 if none is marked, 0 without cells. Blocks are dealt once by document
+    (not at all if they lie so) and resolved in Arrow tables of whole documents, so a worker holds some 65,000 blocks, or those of its
+    largest document if they are more.
     """
-    cells = children(blocks, ("CELL",)).join(child_texts(blocks).select("doc_id", F.col("parent").alias("id"), "child_text"), ["doc_id", "id"], "left")
     one = lambda c: F.coalesce(F.col(c), F.lit(1))
-    span = lambda c: F.greatest(one(c), F.lit(1))
-    cell = F.struct("at", F.struct((one("row") - 1).alias("row"), (one("col") - 1).alias("col"), F.coalesce("child_text", F.lit("")).alias("text"), span("row_span").alias("row_span"), span("col_span").alias("col_span")).alias("cell"))
+    span = lambda c: F.greatest(one(c), F.lit(1)).cast("int").alias(c)
+    kind = F.when(F.col("block_type") == "TABLE", TABLES).when(F.col("block_type") == "CELL", CELLS).when(F.col("block_type").isin("WORD", "SELECTION_ELEMENT"), WORDS)
+    word = F.when(F.col("block_type") == "WORD", F.col("text")).when(F.col("block_type") == "SELECTION_ELEMENT", F.when(F.col("selected"), "[X]").otherwise("[ ]"))
     header = F.array_contains(F.coalesce(F.col("entity_types"), F.array().cast("array<string>")), "COLUMN_HEADER")
-    made = cells.groupBy("doc_id", F.col("parent").alias("id")).agg(
-        F.max(one("row") - 1 + span("row_span")).alias("rows"), F.max(one("col") - 1 + span("col_span")).alias("cols"), F.count_distinct(F.when(header, one("row"))).alias("_h"),
-        F.transform(F.array_sort(F.collect_list(cell)), lambda x: x["cell"]).alias("cells"),
-    )
-    out = blocks.where("block_type = 'TABLE'").select("doc_id", "id").join(made, ["doc_id", "id"], "left")
-    return out.select("doc_id", "id", F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("cols", F.lit(0)).alias("cols"), F.when(F.col("rows").isNull(), 0).otherwise(F.greatest(F.col("_h"), F.lit(1))).cast("int").alias("header_rows"), "cells")
+    slim = blocks.select(
+        "doc_id", "id", kind.cast("int").alias("kind"), word.alias("text"), F.when(kind != WORDS, F.col("children")).alias("children"), (one("row") - 1).cast("int").alias("row"), (one("col") - 1).cast("int").alias("col"),
+        span("row_span"), span("col_span"), F.coalesce(header, F.lit(False)).alias("header"),
+    ).where(f"kind < {WORDS} OR text <> ''").repartition("doc_id").sortWithinPartitions("doc_id")
+    cell = T.StructType([T.StructField(n, T.StringType() if n == "text" else T.IntegerType()) for n in CELL_FIELDS])
+    sizes = [T.StructField(n, T.IntegerType()) for n in ("rows", "cols", "header_rows")]
+    schema = T.StructType([*(T.StructField(n, blocks.schema[n].dataType) for n in ("doc_id", "id")), *sizes, T.StructField("cells", T.ArrayType(cell))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_documents(batches):
+            yield _grids(t)
+
+    return slim.mapInArrow(run, schema)
 
 
 def native_order(blocks: DataFrame) -> DataFrame:

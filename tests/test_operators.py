@@ -3,6 +3,7 @@
 import random
 import uuid
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -355,3 +356,59 @@ def test_texts_are_not_dealt_out_for_routes(spark):
     routes = out.pages.select("doc_id", "route", "n_chars")
     read = [x for x in routes._jdf.queryExecution().executedPlan().toString().split("FileScan")[1:] if "planned-pages" in x]
     assert len(read) == 1 and ",markdown" not in read[0].split("]")[0] and {tuple(r)[1:] for r in routes.collect()} == {("vlm", 4)}
+
+
+def test_blocks_of_tables_are_made_and_dealt_once(spark, tmp_path):
+    lines = [(k, 10 * k + n, n % 3 + 1, "AN"[n % 2]) for k in range(40) for n in range(4)] + [(40, 5, None, "A")]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int, l_returnflag string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    out = catalog.cell_grid(spark, str(tmp_path))
+    assert "Join" not in (plan := out._jdf.queryExecution().executedPlan().toString()) and plan.count("FileScan") == plan.count("Exchange hashpartitioning") == 1
+    got = {r["doc_id"]: tuple(r)[1:] for r in out.collect()}
+    assert len(got) == 41 and got[2] == (3, 1, 1, "0:A [X],1:N [ ],2:A [X]") and got[40] == (0, 0, 0, None)
+
+
+def python_tables(rows):
+    """Each document's tables, block by block."""
+    out, docs = [], {}
+    for r in rows:
+        docs.setdefault(r["doc_id"], {})[r["id"]] = r
+    for d, by_id in docs.items():
+        kids = lambda b: [by_id[k] for k in b["children"] or [] if k is not None and k in by_id and d is not None]
+        for t in (b for b in by_id.values() if b["block_type"] == "TABLE"):
+            cells = []
+            for c in (c for c in kids(t) if c["block_type"] == "CELL"):
+                words = [w["text"] if w["block_type"] == "WORD" else "[X]" if w["selected"] else "[ ]" for w in kids(c) if w["block_type"] in ("WORD", "SELECTION_ELEMENT")]
+                n = {f: 1 if c[f] is None else c[f] for f in ("row", "col", "row_span", "col_span")}
+                cells.append((n["row"] - 1, n["col"] - 1, " ".join(w for w in words if w), max(n["row_span"], 1), max(n["col_span"], 1), "COLUMN_HEADER" in (c["entity_types"] or [])))
+            heads = len({c[0] for c in cells if c[5]})
+            out.append((d, t["id"], max((c[0] + c[3] for c in cells), default=0), max((c[1] + c[4] for c in cells), default=0), max(heads, 1) if cells else 0, [c[:5] for c in cells] or None))
+    return sorted(out, key=repr)
+
+
+def test_tables_like_a_walk_of_each_document(spark):
+    r = random.Random(7)
+    kinds, number = ["TABLE", "CELL", "CELL", "WORD", "WORD", "SELECTION_ELEMENT", "LINE", "PAGE", None], lambda: r.choice([None, -1, 0, 1, 2, 3])
+    rows = []
+    for d in [None, *(f"d{k}" for k in range(40))]:
+        ids = [f"i{k}" for k in range(r.randrange(1, 25))]
+        for pos, i in enumerate(ids):
+            kids = None if r.random() < 0.1 else [r.choice([*ids, "gone", None]) for _ in range(r.randrange(6))]
+            rows.append((d, i, pos, r.choice(kinds), r.choice([None, "", "x", "é z"]), kids, number(), number(), number(), number(), r.choice([None, [], ["COLUMN_HEADER"], ["X", "COLUMN_HEADER"]]), r.choice([None, True, False])))
+    r.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id string, id string, pos int, block_type string, text string, children array<string>, row int, col int, row_span int, col_span int, entity_types array<string>, selected boolean")
+    got = [(*tuple(t)[:5], t["cells"] and [tuple(c) for c in t["cells"]]) for t in layout.tables(df).collect()]
+    assert sorted(got, key=repr) == python_tables([x.asDict() for x in df.collect()]) and layout.tables(df.limit(0)).count() == 0
+
+
+def test_batches_are_joined_to_whole_documents():
+    r = random.Random(9)
+    for _ in range(60):
+        docs = sorted((r.randrange(r.choice([1, 4, 30])) for _ in range(r.randrange(80))), reverse=r.random() < 0.5)
+        docs = [None if d == 0 else f"d{d}" for d in docs]
+        cuts = sorted(r.randrange(len(docs) + 1) for _ in range(r.randrange(12)))
+        batches = [pa.RecordBatch.from_pydict({"doc_id": pa.array(docs[a:b], pa.string()), "n": pa.array(range(a, b), pa.int64())}) for a, b in zip([0, *cuts], [*cuts, len(docs)])]
+        out = list(layout.whole_documents(iter(batches), 10))
+        assert [n for t in out for n in t["n"].to_pylist()] == list(range(len(docs)))
+        assert len({d for t in out for d in set(t["doc_id"].to_pylist())}) == sum(len(set(t["doc_id"].to_pylist())) for t in out)
+        most = max([docs.count(d) for d in docs], default=0)
+        assert all(len(t) < 10 + most + max(b.num_rows for b in batches) for t in out)
