@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,32 +28,6 @@ def from_json_blocks(blocks: Column) -> Column:
     ))
 
 
-def children(blocks: DataFrame, types: tuple[str, ...] | None = None) -> DataFrame:
-    """(doc_id, parent, parent_type, parent_pos, at, child columns...) for each resolved child, in the parent's order; dangling ids fall away."""
-    edge = blocks.select("doc_id", F.col("id").alias("parent"), F.col("block_type").alias("parent_type"), F.col("pos").alias("parent_pos"), F.posexplode("children").alias("at", "id"))
-    kids = blocks if types is None else blocks.where(F.col("block_type").isin(*types))
-    return edge.join(kids.drop("children"), ["doc_id", "id"])
-
-
-def _joined(value: Column, order: str, separator: str) -> Column:
-    return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, value.alias("v")))), lambda x: x["v"]), separator)
-
-
-def child_texts(blocks: DataFrame) -> DataFrame:
-    """(doc_id, parent, child_text): words and check boxes ([X], [ ]) in order, joined by spaces."""
-    kids = children(blocks, ("WORD", "SELECTION_ELEMENT"))
-    word = F.when(F.col("block_type") == "WORD", F.col("text")).when(F.col("selected"), "[X]").otherwise("[ ]")
-    return kids.withColumn("_w", word).where("_w IS NOT NULL AND _w <> ''").groupBy("doc_id", "parent").agg(_joined(F.col("_w"), "at", " ").alias("child_text"))
-
-
-def layout_texts(blocks: DataFrame) -> DataFrame:
-    """(doc_id, id, layout_text) of layout blocks: the texts of their lines joined by line feeds, else their own words."""
-    lines = children(blocks, ("LINE",)).where("text IS NOT NULL AND text <> ''").groupBy("doc_id", F.col("parent").alias("id")).agg(_joined(F.col("text"), "at", "\n").alias("lines"))
-    own = child_texts(blocks).withColumnRenamed("parent", "id")
-    out = blocks.where(F.col("block_type").startswith("LAYOUT_")).select("doc_id", "id").join(lines, ["doc_id", "id"], "left").join(own, ["doc_id", "id"], "left")
-    return out.select("doc_id", "id", F.coalesce("lines", "child_text", F.lit("")).alias("layout_text"))
-
-
 CHUNK = 1 << 16  # blocks that a worker resolves at once, rounded up to whole documents
 
 
@@ -110,15 +84,15 @@ def _rank(groups: np.ndarray, keys: np.ndarray) -> pa.Array:
     return pa.array(place, mask=~known)
 
 
-def _grids(t: pa.Table) -> pa.RecordBatch:
-    """The tables of whole documents; see tables()."""
+def _graph(t: pa.Table) -> tuple[dict[str, pa.Array], np.ndarray, np.ndarray, Callable]:
+    """Of whole documents: their columns, the number of each block's document, a key for its id in it (-1 for none), and a function of
+    two kinds to their resolved edges (row of the parent, at, row of the child)."""
     c = {n: t.column(n).combine_chunks() for n in t.column_names}
     ends = pc.run_end_encode(c["doc_id"]).run_ends.to_numpy()
     doc = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
     n_kids = pc.fill_null(pc.list_value_length(c["children"]), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     parent = np.repeat(np.arange(len(doc)), n_kids)
     at = np.arange(len(parent)) - np.repeat(np.cumsum(n_kids) - n_kids, n_kids)
-    # a key for each id of a document, -1 for null ones
     code = pc.dictionary_encode(pa.concat_arrays([c["id"], c["children"].flatten()]))
     n_ids, code = len(code.dictionary), pc.fill_null(code.indices, -1).to_numpy(zero_copy_only=False).astype(np.int64)
     both = np.where((code < 0) | np.r_[lost := c["doc_id"].is_null().to_numpy(zero_copy_only=False), lost[parent]], -1, np.r_[doc, doc[parent]] * n_ids + code)
@@ -126,17 +100,28 @@ def _grids(t: pa.Table) -> pa.RecordBatch:
     kind = c["kind"].to_numpy()
 
     def edges(of: int, to: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(key of the parent, at, row of the child)"""
         rows, some = np.flatnonzero(kind == to), np.flatnonzero((kind[parent] == of) & (key[parent] >= 0))
         left, right = _matches(key[rows], kid[some])
-        return key[parent[some[left]]], at[some[left]], rows[right]
+        return parent[some[left]], at[some[left]], rows[right]
+
+    return c, doc, key, edges
+
 
-    cell, place, row = edges(CELLS, WORDS)
-    words = c["text"].cast(pa.string()).take(pa.array(row))
-    order, starts = _grouped(cell, place, [words])
-    joined, told = pc.binary_join(_lists(starts, words.take(pa.array(order))), " "), cell[order][starts]
+def _joined_texts(c: dict[str, pa.Array], key: np.ndarray, edges: tuple[np.ndarray, np.ndarray, np.ndarray], separator: str) -> tuple[np.ndarray, pa.Array]:
+    """(sorted keys of the parents, the texts of their children in order, joined)"""
+    parent, at, row = edges
+    texts = c["text"].cast(pa.string()).take(pa.array(row))
+    order, starts = _grouped(key[parent], at, [texts])
+    return key[parent][order][starts], pc.binary_join(_lists(starts, texts.take(pa.array(order))), separator)
 
-    table, place, row = edges(TABLES, CELLS)
+
+def _grids(t: pa.Table) -> pa.RecordBatch:
+    """The tables of whole documents; see tables()."""
+    c, _, key, edges = _graph(t)
+    kind = c["kind"].to_numpy()
+    told, joined = _joined_texts(c, key, edges(CELLS, WORDS), " ")
+    parent, place, row = edges(TABLES, CELLS)
+    table = key[parent]
     number = {n: c[n].to_numpy(zero_copy_only=False)[row] for n in ("row", "col", "row_span", "col_span")}
     fields = {n: pa.array(v, pa.int32()) for n, v in number.items()} | {"text": pc.fill_null(joined.take(_rank(told, key[row])), "")}
     fields = [fields[n] for n in CELL_FIELDS]
@@ -154,10 +139,15 @@ def _grids(t: pa.Table) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c["doc_id"].take(pa.array(mine)), c["id"].take(pa.array(mine)), size(most("row", "row_span")), size(most("col", "col_span")), size(heads), lists.take(rank)], ["doc_id", "id", "rows", "cols", "header_rows", "cells"])
 
 
-TABLES, CELLS, WORDS = 0, 1, 2  # kinds of blocks that tables are made of
+TABLES, CELLS, WORDS, LINES, LAYOUTS, PAGES = range(6)  # kinds of blocks
 CELL_FIELDS = ["row", "col", "text", "row_span", "col_span"]
 
 
+def _word() -> Column:
+    """The text of a word, [X] or [ ] for a check box."""
+    return F.when(F.col("block_type") == "WORD", F.col("text")).when(F.col("block_type") == "SELECTION_ELEMENT", F.when(F.col("selected"), "[X]").otherwise("[ ]"))
+
+
 def tables(blocks: DataFrame) -> DataFrame:
     """(doc_id, id, rows, cols, header_rows, cells) of TABLE blocks: 0-based cells with spans of at least 1.
 
@@ -168,10 +158,9 @@ def tables(blocks: DataFrame) -> DataFrame:
     one = lambda c: F.coalesce(F.col(c), F.lit(1))
     span = lambda c: F.greatest(one(c), F.lit(1)).cast("int").alias(c)
     kind = F.when(F.col("block_type") == "TABLE", TABLES).when(F.col("block_type") == "CELL", CELLS).when(F.col("block_type").isin("WORD", "SELECTION_ELEMENT"), WORDS)
-    word = F.when(F.col("block_type") == "WORD", F.col("text")).when(F.col("block_type") == "SELECTION_ELEMENT", F.when(F.col("selected"), "[X]").otherwise("[ ]"))
     header = F.array_contains(F.coalesce(F.col("entity_types"), F.array().cast("array<string>")), "COLUMN_HEADER")
     slim = blocks.select(
-        "doc_id", "id", kind.cast("int").alias("kind"), word.alias("text"), F.when(kind != WORDS, F.col("children")).alias("children"), (one("row") - 1).cast("int").alias("row"), (one("col") - 1).cast("int").alias("col"),
+        "doc_id", "id", kind.cast("int").alias("kind"), _word().alias("text"), F.when(kind != WORDS, F.col("children")).alias("children"), (one("row") - 1).cast("int").alias("row"), (one("col") - 1).cast("int").alias("col"),
         span("row_span"), span("col_span"), F.coalesce(header, F.lit(False)).alias("header"),
     ).where(f"kind < {WORDS} OR text <> ''").repartition("doc_id").sortWithinPartitions("doc_id")
     cell = T.StructType([T.StructField(n, T.StringType() if n == "text" else T.IntegerType()) for n in CELL_FIELDS])
@@ -185,42 +174,92 @@ def tables(blocks: DataFrame) -> DataFrame:
     return slim.mapInArrow(run, schema)
 
 
-def native_order(blocks: DataFrame) -> DataFrame:
-    """(doc_id, id, place) of layout blocks: the children of one PAGE block after the other, each at its first place.
-
-    Documents whose PAGE blocks hold no layout block have the order that reconciled() finds by geometry; without boxes (no column box)
-    the input order.
+def _layouts(t: pa.Table) -> pa.RecordBatch:
+    """The layout and table blocks of whole documents; see resolved_layouts()."""
+    c, doc, key, edges = _graph(t)
+    kind = c["kind"].to_numpy()
+    rows = np.flatnonzero((kind == LAYOUTS) | (kind == TABLES))
+    mine, is_layout = key[rows], kind[rows] == LAYOUTS
+    texts = [v.take(_rank(k, mine)) for k, v in (_joined_texts(c, key, edges(LAYOUTS, of), by) for of, by in ((LINES, "\n"), (WORDS, " ")))]
+
+    parent, place, row = edges(LAYOUTS, TABLES)
+    some = pc.fill_null(pc.equal(c["block_type"], "LAYOUT_TABLE"), False).to_numpy(zero_copy_only=False)[parent]
+    parent, place, row = parent[some], place[some], row[some]
+    order, starts = _grouped(key[parent], place, [c["id"].take(pa.array(row))])
+    first, rank = row[order][starts], _rank(key[parent][order][starts], mine)
+
+    # the children of one PAGE block after the other, each at its first place
+    parent, place, row = edges(PAGES, LAYOUTS)
+    pos = pc.fill_null(c["pos"].cast(pa.int64()), np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
+    kids = row[np.lexsort((place, pos[parent], doc[row]))]
+    kids = kids[np.sort(np.unique(key[kids], return_index=True)[1])]
+    seat = np.arange(len(kids)) - np.searchsorted(doc[kids], doc[kids])
+    by_key = np.argsort(key[kids])
+    seats = pa.array(seat[by_key], pa.int32()).take(_rank(key[kids][by_key], mine))
+    lone = np.ones(doc[-1] + 1, bool)
+    lone[doc[kids]] = False
+    lone = lone[doc[rows]]
+    laid = is_layout & (mine >= 0) & (lone | seats.is_valid().to_numpy(zero_copy_only=False))
+    held = np.isin(mine, pa.array(key[first]).take(rank.filter(pa.array(laid))).drop_null().to_numpy()) & (mine >= 0)
+
+    took = lambda n: c[n].take(pa.array(rows))
+    out = {
+        "doc_id": took("doc_id"), "id": took("id"), "pos": took("pos"), "block_type": took("block_type"), "layout_text": pc.coalesce(*texts, pa.scalar("")), "table_id": c["id"].take(pa.array(first)).take(rank),
+        "place": seats, "lone": pa.array(lone), "laid": pa.array(laid), "held": pa.array(held), "left": took("left"), "top": took("top"), "width": took("width"),
+    }
+    return pa.RecordBatch.from_arrays(list(out.values()), list(out))
+
+
+def resolved_layouts(blocks: DataFrame) -> DataFrame:
+    """(doc_id, id, pos, block_type, layout_text, table_id, place, lone, laid, held, left, top, width) of layout and TABLE blocks.
+
+    layout_text: the texts of its lines joined by line feeds, else its own words. table_id: the first table of a layout table. place: in
+    the order of the PAGE blocks, null for what these don't hold; lone: they hold no layout block of the document. laid: has a place or
+    is lone; held: a table that a laid block has first. Dealt and bounded as in tables().
     """
-    laid = blocks.where(F.col("block_type").startswith("LAYOUT_"))
-    kids = children(blocks.where("block_type = 'PAGE'").unionByName(laid)).where("parent_type = 'PAGE' AND startswith(block_type, 'LAYOUT_')")
-    first = kids.groupBy("doc_id", "id").agg(F.min(F.struct("parent_pos", "at")).alias("_p"))
-    told = first.select("doc_id", "id", (F.row_number().over(Window.partitionBy("doc_id").orderBy("_p")) - 1).alias("place"))
-    lone = laid.join(told.select("doc_id").distinct(), "doc_id", "left_anti")
-    if "box" not in blocks.columns:
-        return told.unionByName(lone.select("doc_id", "id", F.col("pos").alias("place")))
-    boxes = lone.select("doc_id", "id", "pos", "box.left", "box.top", "box.width")
-    zero = boxes.withColumn("top", F.coalesce("top", F.lit(0.0)))
-    return told.unionByName(reconciled(zero, "doc_id").select("doc_id", "id", F.col("place").cast("int").alias("place")))
+    t = F.col("block_type")
+    kind = F.when(t == "TABLE", TABLES).when(t.isin("WORD", "SELECTION_ELEMENT"), WORDS).when(t == "LINE", LINES).when(t.startswith("LAYOUT_"), LAYOUTS).when(t == "PAGE", PAGES)
+    double = lambda n: (F.col(f"box.{n}") if "box" in blocks.columns else F.lit(None)).cast("double").alias(n)
+    slim = blocks.select(
+        "doc_id", "id", kind.cast("int").alias("kind"), F.when(t == "LINE", F.col("text")).otherwise(_word()).alias("text"), F.when(kind.isin(LAYOUTS, PAGES), F.col("children")).alias("children"),
+        F.col("pos").cast("int").alias("pos"), F.when(kind.isin(LAYOUTS, TABLES), t).alias("block_type"), double("left"), double("top"), double("width"),
+    ).where(f"kind NOT IN ({WORDS}, {LINES}) OR text <> ''").repartition("doc_id").sortWithinPartitions("doc_id")
+    kept = {n: blocks.schema[n].dataType for n in ("doc_id", "id")}
+    types = {**kept, "pos": T.IntegerType(), "block_type": T.StringType(), "layout_text": T.StringType(), "table_id": kept["id"], "place": T.IntegerType()}
+    types |= dict.fromkeys(("lone", "laid", "held"), T.BooleanType()) | dict.fromkeys(("left", "top", "width"), T.DoubleType())
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_documents(batches):
+            yield _layouts(t)
 
-def first_tables(blocks: DataFrame) -> DataFrame:
-    """(doc_id, id, table_id): the first TABLE child of each LAYOUT_TABLE."""
-    return children(blocks, ("TABLE",)).where("parent_type = 'LAYOUT_TABLE'").groupBy("doc_id", F.col("parent").alias("id")).agg(F.min_by("id", "at").alias("table_id"))
+    return slim.mapInArrow(run, T.StructType([T.StructField(n, v) for n, v in types.items()]))
 
 
 def elements(blocks: DataFrame, order: DataFrame | None = None) -> DataFrame:
     """(doc_id, seq, type, level, text, table_id) of the blocks of each document, in order (native order by default).
 
-    Layout blocks of a known type give an element with their text; layout tables one for their first table; tables that no layout
-    block holds come last, in input order. The blocks are written to the shared folder at once, so that they are made once.
+    The native order has the children of one PAGE block after the other, each at its first place. Documents whose PAGE blocks hold no
+    layout block have the order that reconciled() finds by geometry; without boxes (no column box) the input order. Layout blocks of a
+    known type give an element with their text; layout tables one for their first table; tables that no layout block holds come last, in
+    input order. The resolved blocks are written to the shared folder at once, so that they are made once.
     """
-    blocks = materialised(blocks, "blocks")  # what follows reads them many times
-    order = native_order(blocks) if order is None else order
-    laid = order.join(blocks.select("doc_id", "id", "block_type"), ["doc_id", "id"]).join(layout_texts(blocks), ["doc_id", "id"], "left").join(first_tables(blocks), ["doc_id", "id"], "left")
+    rows = materialised(resolved_layouts(blocks), "blocks")
+    found = rows.where(F.col("block_type") != "TABLE")
+    names = ["doc_id", "block_type", "layout_text", "table_id", "place"]
+    if order is not None:
+        laid = order.join(found.drop("place"), ["doc_id", "id"]).select(names)
+        left = rows.where("block_type = 'TABLE'").select("doc_id", F.col("id").alias("table_id"), "pos").join(laid.where("table_id IS NOT NULL").select("doc_id", "table_id"), ["doc_id", "table_id"], "left_anti")
+    else:
+        lone = found.where("lone").drop("place")
+        if "box" in blocks.columns:
+            lone = reconciled(lone.withColumn("top", F.coalesce("top", F.lit(0.0))), "doc_id")
+        else:
+            lone = lone.withColumn("place", F.col("pos"))
+        laid = found.where("laid AND NOT lone").select(names).unionByName(lone.where("laid").withColumn("place", F.col("place").cast("int")).select(names))
+        left = rows.where("block_type = 'TABLE' AND NOT held").select("doc_id", F.col("id").alias("table_id"), "pos")
     kind = F.when(F.col("block_type") == "LAYOUT_TABLE", F.when(F.col("table_id").isNotNull(), "table")).otherwise(lookup(LAYOUT_TYPES, F.col("block_type")))
     told = laid.select("doc_id", F.lit(0).alias("_late"), F.col("place").alias("_at"), kind.alias("type"), lookup(LAYOUT_LEVELS, F.col("block_type")).alias("level"), F.when(kind == "table", "").otherwise(F.col("layout_text")).alias("text"), F.when(kind == "table", F.col("table_id")).alias("table_id"))
     told = told.where("type IS NOT NULL AND (type = 'table' OR text <> '')")
-    left = blocks.where("block_type = 'TABLE'").select("doc_id", F.col("id").alias("table_id"), "pos").join(laid.where("table_id IS NOT NULL").select("doc_id", "table_id"), ["doc_id", "table_id"], "left_anti")
     late = left.select("doc_id", F.lit(1).alias("_late"), F.col("pos").alias("_at"), F.lit("table").alias("type"), F.lit(None).cast("int").alias("level"), F.lit("").alias("text"), "table_id")
     w = Window.partitionBy("doc_id").orderBy("_late", "_at")
     return told.unionByName(late).withColumn("seq", F.row_number().over(w) - 1).drop("_late", "_at")

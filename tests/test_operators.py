@@ -412,3 +412,49 @@ def test_batches_are_joined_to_whole_documents():
         assert len({d for t in out for d in set(t["doc_id"].to_pylist())}) == sum(len(set(t["doc_id"].to_pylist())) for t in out)
         most = max([docs.count(d) for d in docs], default=0)
         assert all(len(t) < 10 + most + max(b.num_rows for b in batches) for t in out)
+
+
+def python_elements(rows):
+    """Elements of documents without boxes, block by block."""
+    out, docs = [], {}
+    for r in rows:
+        docs.setdefault(r["doc_id"], {})[r["id"]] = r
+    for d, by_id in docs.items():
+        blocks = sorted(by_id.values(), key=lambda b: b["pos"])
+        kids = lambda b, *kinds: [by_id[k] for k in b["children"] or [] if k in by_id and by_id[k]["block_type"] in kinds]
+        layouts = [b for b in blocks if (b["block_type"] or "").startswith("LAYOUT_")]
+        laid = {k["id"]: k for p in blocks if p["block_type"] == "PAGE" for k in kids(p, "LAYOUT_TEXT", "LAYOUT_TABLE", "LAYOUT_TITLE")}
+        found, held = [], set()
+        for b in laid.values() or layouts:
+            lines = "\n".join(x["text"] for x in kids(b, "LINE") if x["text"])
+            words = [w["text"] if w["block_type"] == "WORD" else "[X]" if w["selected"] else "[ ]" for w in kids(b, "WORD", "SELECTION_ELEMENT")]
+            table = next((t["id"] for t in kids(b, "TABLE")), None) if b["block_type"] == "LAYOUT_TABLE" else None
+            if table is not None:
+                held.add(table)
+                found.append(("table", None, "", table))
+            elif b["block_type"] != "LAYOUT_TABLE" and (text := lines or " ".join(w for w in words if w)):
+                found.append(("heading", 1, text, None) if b["block_type"] == "LAYOUT_TITLE" else ("paragraph", None, text, None))
+        found += [("table", None, "", b["id"]) for b in blocks if b["block_type"] == "TABLE" and b["id"] not in held]
+        out += [(d, k, *f) for k, f in enumerate(found)]
+    return sorted(out, key=repr)
+
+
+def test_elements_like_a_walk_of_each_document(spark):
+    r = random.Random(11)
+    kinds = ["PAGE", "LAYOUT_TEXT", "LAYOUT_TABLE", "LAYOUT_TITLE", "LINE", "LINE", "WORD", "SELECTION_ELEMENT", "TABLE", "CELL", None]
+    rows = []
+    for d in range(60):
+        ids = [f"i{k}" for k in range(r.randrange(1, 25))]
+        rows += [(f"d{d}", i, pos, r.choice(kinds), r.choice([None, "", "x", "é z"]), None if r.random() < 0.1 else [r.choice([*ids, "gone", None]) for _ in range(r.randrange(6))], r.choice([None, True, False])) for pos, i in enumerate(ids)]
+    r.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id string, id string, pos int, block_type string, text string, children array<string>, selected boolean")
+    out, columns = layout.elements(df), ["doc_id", "seq", "type", "level", "text", "table_id"]
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+    want = python_elements([x.asDict() for x in df.collect()])
+    assert sorted((tuple(x) for x in out.select(columns).collect()), key=repr) == want
+    # in a given order, only what it names is laid out
+    order = df.where("block_type LIKE 'LAYOUT%'").selectExpr("doc_id", "id", "-pos AS place")
+    got = [tuple(x) for x in layout.elements(df, order).where("type <> 'table'").select("doc_id", "text").collect()]
+    assert len(got) >= len([x for x in want if x[2] != "table"])
+    none = layout.elements(df, order.limit(0)).select("doc_id", "type", "table_id").collect()
+    assert sorted(tuple(x) for x in none) == sorted((x[0], "table", x[1]) for x in rows if x[3] == "TABLE")
